@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 
+STEP = 0.41421356237
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,7 +28,9 @@ class Tables:
 def rounded(df: DataFrame, places: int) -> DataFrame:
     """Doubles to ``places`` decimals and narrow integers to bigint, for comparison across engines.
 
-    ``floor(x * 10^n + 0.5) / 10^n`` is the same arithmetic in both, also on ties.
+    ``floor(x * 10^n + STEP) / 10^n`` is the same arithmetic in both, and its steps lie
+    where no short decimal or simple fraction falls, so that the last bit of a sum
+    does not matter. Dates become text.
     """
     unit = 10.0**places
     out = []
@@ -34,15 +38,17 @@ def rounded(df: DataFrame, places: int) -> DataFrame:
         c = F.col(f"`{f.name}`")
         kind = f.dataType.simpleString()
         if kind == "double":
-            c = F.floor(c * unit + 0.5) / unit
+            c = F.floor(c * unit + STEP) / unit
         elif kind in ("int", "smallint", "tinyint"):
             c = c.cast("bigint")
+        elif kind == "date":
+            c = c.cast("string")
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None, doubles: str = "", places: int = 4):
-    """Register ``fn(tables) -> DataFrame``; ``doubles`` names the SQL's double columns."""
+def query(name: str, sql: str | None = None, doubles: str = "", places: int = 4, dates: str = ""):
+    """Register ``fn(tables) -> DataFrame``; ``doubles`` and ``dates`` name the SQL's columns of these types."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +59,10 @@ def query(name: str, sql: str | None = None, doubles: str = "", places: int = 4)
         QUERIES[name] = run
         if sql is not None:
             body = fixtures.duck(sql)
-            if doubles:
+            if doubles or dates:
                 unit = f"{10**places}.0::DOUBLE"
-                cells = ", ".join(f"floor({c} * {unit} + 0.5) / {unit} AS {c}" for c in doubles.split())
+                cells = ", ".join(f"floor({c} * {unit} + {STEP}::DOUBLE) / {unit} AS {c}" for c in doubles.split())
+                cells = ", ".join([*filter(None, [cells]), *[f"CAST({c} AS VARCHAR) AS {c}" for c in dates.split()]])
                 body = f"SELECT * REPLACE ({cells}) FROM (\n{body}\n)"
             ORACLES[name] = body
         return fn

@@ -143,8 +143,7 @@ def mapped(c, mapping: Mapping, default: Column | None = None) -> Column:
 def chain_display_name(chain_id) -> Column:
     """Chain id to display name; an unknown id is kept as text."""
     chain_id = col(chain_id).cast("bigint")
-    names = {F.lit(k).cast("bigint"): v for k, v in CHAIN_ID_NAMES.items()}
-    pairs = [x if isinstance(x, Column) else F.lit(x) for pair in names.items() for x in pair]
+    pairs = [c for k, v in CHAIN_ID_NAMES.items() for c in (F.lit(k).cast("bigint"), F.lit(v))]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), chain_id), chain_id.cast("string"))
 
 
