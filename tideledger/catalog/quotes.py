@@ -121,7 +121,7 @@ def _(t):
 @query(
     "D16_price_vs_volume",
     f"""WITH v AS (SELECT source_chain_name AS f, destination_chain_name AS g, currency_symbol AS s, sum(total_volume) AS volume
-                   FROM ({all_volume_sql('day')}) x WHERE date >= TIMESTAMP '2000-01-01' GROUP BY ALL),
+                   FROM ({all_volume_sql('day')}) x WHERE date >= TIMESTAMP '1994-01-02' GROUP BY ALL),
     q AS (SELECT 'CHAIN_' || from_chain AS from_chain, 'chain_' || to_chain AS to_chain, 'brand#' || substr(token, 2) AS token, input_amount, price, bridge,
                  best_bridge_rank FROM ({RANK_SQL.replace('CASE ' + _NAMES.format(c='from_chain') + ' ELSE from_chain END', 'from_chain').replace('CASE ' + _NAMES.format(c='to_chain') + ' ELSE to_chain END', 'to_chain')}) z)
     SELECT v.f AS from_chain, v.g AS to_chain, v.s AS token, input_amount, volume, 10000 * (1 - price / input_amount) AS bps, bridge, price, best_bridge_rank
@@ -139,7 +139,7 @@ def _(t):
         r = r.join(F.broadcast(named), f"{side}_chain", "left")
         r = r.withColumn(f"{side}_chain", F.concat(F.lit(prefix), F.coalesce("__code", f"{side}_chain"))).drop("__code")
     r = r.withColumn("token", F.concat(F.lit("brand#"), F.substring("token", 2, 9)))
-    return B.price_vs_volume(volume, r, as_of="2000-01-31")
+    return B.price_vs_volume(volume, r, as_of="2003-12-31", days=3650)
 
 
 # --- planning ------------------------------------------------------------------------

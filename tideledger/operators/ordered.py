@@ -57,15 +57,18 @@ def row_id(*columns: Column | str, prefix: str | None = None) -> Column:
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True, hot_rows: int = 5_000_000
-) -> DataFrame:
+    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True,
+    hot_rows: int = 5_000_000, members: DataFrame | None = None,
+) -> DataFrame:
     """SQL ``RANK()`` of ``value`` within ``keys``, also for keys too large for one task.
 
-    Group sizes are counted first. If none exceeds ``hot_rows`` a plain window does.
+    Group sizes are counted first (on ``members``, a cheaper table with at least the
+    same rows per key, if given). If none exceeds ``hot_rows`` a plain window does.
     Otherwise ranks come from counts per distinct value over range chunks.
     """
     order = F.col(value).desc() if descending else F.col(value).asc()
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    sizes = (df if members is None else members).groupBy(*keys).count()
+    largest = sizes.agg(F.max("count")).first()[0] or 0
     if largest <= hot_rows:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))

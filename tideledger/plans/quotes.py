@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,14 +70,13 @@ def routes_from_quotes(quotes: DataFrame, source: str) -> DataFrame:
 
 def clean_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
     """Distinct quotes of each source, ranked by what arrives per time and pathway."""
-    rows = None
-    for df in sources:
-        df = df.drop("total_user_tx")
-        if since:
-            df = df.where(F.col("date") >= F.lit(since).cast("timestamp"))
-        df = df.distinct()
-        rows = df if rows is None else rows.unionByName(df)
-    return ranked(rows, ["date", *PATHWAY], "final_out_amount", "max_value_rank_by_output")
+    kept = [df.drop("total_user_tx") for df in sources]
+    if since:
+        kept = [df.where(F.col("date") >= F.lit(since).cast("timestamp")) for df in kept]
+    group = ["date", *PATHWAY]
+    members = reduce(lambda a, b: a.unionByName(b), [df.select(*group) for df in kept])
+    rows = reduce(lambda a, b: a.unionByName(b), [df.distinct() for df in kept])
+    return ranked(rows, group, "final_out_amount", "max_value_rank_by_output", members=members)
 
 
 def rank_bridges(quotes: DataFrame, keep: int = 2) -> DataFrame:
