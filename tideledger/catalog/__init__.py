@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("bridges", "flows", "operators", "quotes", "routers", "settlement", "transfers", "sources")
+MODULES = ("bridges", "flows", "quotes", "transfers", "routers", "settlement", "operators", "sources")
 
 
 def load_all():

@@ -36,6 +36,10 @@ class SparkDialect:
     def epoch(ts: str) -> str:
         return f"unix_timestamp({ts})"
 
+    @staticmethod
+    def joined(text: str, order: str) -> str:
+        return f"listagg({text}, ',') WITHIN GROUP (ORDER BY {order})"
+
 
 class DuckDialect:
     @staticmethod
@@ -46,6 +50,10 @@ class DuckDialect:
     def epoch(ts: str) -> str:
         return f"(epoch_us({ts}) // 1000000)"
 
+    @staticmethod
+    def joined(text: str, order: str) -> str:
+        return f"string_agg({text}, ',' ORDER BY {order})"
+
 
 VIEWS: dict[str, Callable[[type], str]] = {}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,16 +27,27 @@ def build_session(app: str = "tideledger", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a temporary one.
+    Only a local session without that setting gets a temporary one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tideledger-checkpoint-"))
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tideledger-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` reliably in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that is not in use."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
