@@ -58,55 +58,68 @@ def obj(**fields: str) -> str:
     return "'{' || " + " || ',' || ".join(f"""'"{k}":' || {v}""" for k, v in fields.items()) + " || '}'"
 
 
-LINE_KEY = "l_linenumber, l_partkey, l_suppkey, l_extendedprice"
-
-
 def token(key: str) -> str:
     return obj(address=text(f"'0x' || CAST({key} AS STRING)"), chainId=num(key), symbol=text(f"'S' || CAST({key} AS STRING)"), decimals="'6'", name=text("'n'"), priceUSD=text("'1'"))
 
 
+# Each line item is one document, so documents stay small however the data is spread.
+LINE_ID = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(cents AS STRING)"
+
+
 @fixture
 def fx_document_lines(d):
     return f"""
-    SELECT l_orderkey, o_custkey, o_orderstatus, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
-           row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_KEY}) - 1 AS idx
-    FROM @lineitem JOIN @orders ON l_orderkey = o_orderkey"""
+    SELECT {LINE_ID} AS line_id, * FROM (
+      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM @lineitem) x"""
+
+
+def listed(cell, last: str) -> str:
+    """JSON list of ``cell(0) .. cell(n)`` where ``last`` (0, 1 or 2) is a SQL expression."""
+    return (
+        f"'[' || {cell(0)} || CASE WHEN {last} > 0 THEN ',' || {cell(1)} ELSE '' END || CASE WHEN {last} > 1 THEN ',' || {cell(2)} ELSE '' END || ']'"
+    )
 
 
 @fixture
 def fx_route_documents(d):
-    cost = obj(name=text("'fee' || CAST(idx AS STRING)"), amount=text(num("cents")), amountUSD=text("'0.5'"), token=token("l_suppkey"))
-    fees = f"CASE WHEN l_linenumber % 2 = 0 THEN '[' || {cost} || ']' ELSE '[]' END"
-    step = obj(
-        id=text("CAST(l_orderkey AS STRING) || '-' || CAST(idx AS STRING)"), type=text("'cross'"), tool=text("'t' || CAST(l_suppkey % 4 AS STRING)"),
-        toolDetails=obj(key=text("'k' || CAST(l_suppkey % 4 AS STRING)"), name=text("'n'")),
-        estimate=obj(fromAmount=text(num("cents")), toAmount=text(num("cents - 1")), feeCosts=fees, gasCosts=f"'[' || {cost} || ']'"),
-    )
+    def cost(k: int) -> str:
+        return obj(name=text(f"'fee{k}'"), amount=text(num(f"cents + {k}")), amountUSD=text("'0.5'"), token=token("l_suppkey"))
+
+    def step(k: int) -> str:
+        fees = f"CASE WHEN (l_linenumber + {k}) % 2 = 0 THEN '[' || {cost(k)} || ']' ELSE '[]' END"
+        return obj(
+            id=text(f"line_id || '/{k}'"), type=text("'cross'"), tool=text(f"'t{k}'"),
+            toolDetails=obj(key=text("'k' || CAST(l_suppkey % 4 AS STRING)"), name=text("'n'")),
+            estimate=obj(fromAmount=text(num("cents")), toAmount=text(num("cents - 1")), feeCosts=fees, gasCosts=f"'[' || {cost(k)} || ']'"),
+        )
+
     route = obj(
-        id=text("CAST(l_orderkey AS STRING)"), fromChainId=num("o_custkey % 5"), toChainId=num("l_orderkey % 5"), fromAmountUSD=text(num("o_custkey")),
-        toAmountUSD=text(num("o_custkey - 1")), gasCostUSD=text("'0.1'"), fromAmount=text("'100'"), toAmount=text("'99'"), tags="""'["FASTEST"]'""",
-        fromToken=token("o_custkey % 5"), toToken=token("l_orderkey % 5"), steps="'[' || steps || ']'",
+        id=text("line_id"), fromChainId=num("l_partkey % 5"), toChainId=num("l_orderkey % 5"), fromAmountUSD=text(num("cents")),
+        toAmountUSD=text(num("cents - 1")), gasCostUSD=text("'0.1'"), fromAmount=text("'100'"), toAmount=text("'99'"), tags="""'["FASTEST"]'""",
+        fromToken=token("l_partkey % 5"), toToken=token("l_orderkey % 5"), steps=listed(step, "l_linenumber % 3"),
     )
-    request = obj(fromChainId=num("o_custkey % 5"), toChainId=num("l_orderkey % 5"), fromAmount=text("'100'"), fromTokenAddress=text("'a'"), toTokenAddress=text("'b'"))
-    failed = obj(overallPath=text("'p' || CAST(l_orderkey AS STRING)"), subpaths=text("'s'"))
-    return f"""
-    SELECT l_orderkey AS doc_id, {obj(payload=request, routes=f"CASE WHEN o_orderstatus = 'P' THEN '[]' ELSE '[' || {route} || ']' END",
-                                       unavailableRoutes=obj(failed=f"CASE WHEN o_orderstatus = 'P' AND l_orderkey % 2 = 0 THEN '[' || {failed} || ']' ELSE '[]' END"))} AS doc
-    FROM (SELECT l_orderkey, o_custkey, o_orderstatus, {d.joined(step, 'idx')} AS steps FROM @fx_document_lines GROUP BY l_orderkey, o_custkey, o_orderstatus) x"""
+    request = obj(fromChainId=num("l_partkey % 5"), toChainId=num("l_orderkey % 5"), fromAmount=text("line_id"), fromTokenAddress=text("'a'"), toTokenAddress=text("'b'"))
+    failed = obj(overallPath=text("line_id"), subpaths=text("'s'"))
+    doc = obj(
+        payload=request, routes=f"CASE WHEN l_linenumber = 7 THEN '[]' ELSE '[' || {route} || ']' END",
+        unavailableRoutes=obj(failed=f"CASE WHEN l_linenumber = 7 AND l_orderkey % 2 = 0 THEN '[' || {failed} || ']' ELSE '[]' END"),
+    )
+    return f"SELECT {doc} AS doc FROM @fx_document_lines"
 
 
 def route_documents(t):
-    return D.parse_documents(t.fx_route_documents.select("doc"), "doc", SC.ROUTE_DOCUMENTS)
+    return D.parse_documents(t.fx_route_documents, "doc", SC.ROUTE_DOCUMENTS)
 
 
 @query(
     "S5_flatten_routes",
-    """WITH fees AS (SELECT l_orderkey, 'fee' || idx AS name, CAST(cents AS VARCHAR) AS amount, row_number() OVER (PARTITION BY l_orderkey ORDER BY idx) - 1 AS pos
-                     FROM @fx_document_lines WHERE l_linenumber % 2 = 0)
-       SELECT CAST(l.l_orderkey AS VARCHAR) AS route_id, idx AS step_index, l.l_orderkey || '-' || idx AS id, 't' || l_suppkey % 4 AS tool, 'k' || l_suppkey % 4 AS tooldetails_key,
-              CAST(cents AS VARCHAR) AS estimate_fromamount, o_custkey % 5 AS route_fromchainid, 'S' || o_custkey % 5 AS route_fromtoken_symbol, f.name AS fee_name, f.amount AS fee_amount,
-              'fee' || idx AS gas_name, 'S' || l_suppkey AS gas_token_symbol, '["FASTEST"]' AS route_tags
-       FROM @fx_document_lines l JOIN fees f ON l.l_orderkey = f.l_orderkey AND idx = f.pos WHERE o_orderstatus <> 'P'""",
+    """WITH steps AS (SELECT l.*, CAST(unnest([0, 1, 2]) AS BIGINT) AS k FROM @fx_document_lines l WHERE l_linenumber <> 7),
+       kept AS (SELECT * FROM steps WHERE k <= l_linenumber % 3),
+       fees AS (SELECT line_id, k AS fee_no, row_number() OVER (PARTITION BY line_id ORDER BY k) - 1 AS pos FROM kept WHERE (l_linenumber + k) % 2 = 0)
+       SELECT s.line_id AS route_id, s.k AS step_index, s.line_id || '/' || s.k AS id, 't' || s.k AS tool, 'k' || l_suppkey % 4 AS tooldetails_key, CAST(cents AS VARCHAR) AS estimate_fromamount,
+              l_partkey % 5 AS route_fromchainid, 'S' || l_partkey % 5 AS route_fromtoken_symbol, 'fee' || fee_no AS fee_name, CAST(cents + fee_no AS VARCHAR) AS fee_amount,
+              'fee' || s.k AS gas_name, 'S' || l_suppkey AS gas_token_symbol, '["FASTEST"]' AS route_tags
+       FROM kept s JOIN fees f ON s.line_id = f.line_id AND s.k = f.pos""",
 )
 def _(t):
     return D.flatten_routes(route_documents(t)).select(
@@ -117,30 +130,38 @@ def _(t):
 
 @fixture
 def fx_quote_documents(d):
-    step = obj(type=text("'bridge'"), fromAmount=text(num("cents")), toAmount=text(num("cents - 1")), protocol=obj(name=text("'p' || CAST(l_suppkey % 3 AS STRING)")))
-    user = obj(userTxType=text("'fund'"), routePath=text("'r' || CAST(idx AS STRING)"), userTxIndex=num("idx"), steps=f"'[' || {step} || ',' || {step} || ']'")
-    route = obj(
-        routeId=text("CAST(l_orderkey AS STRING) || '-' || CAST(idx AS STRING)"), fromAmount=text(num("cents")), toAmount=text(num("cents - 1")),
-        usedBridgeNames="""'["b' || CAST(l_suppkey % 4 AS STRING) || '"]'""", totalUserTx="'1'", totalGasFeesInUsd="'0.25'", inputValueInUsd=num("cents"),
-        outputValueInUsd=num("cents - 2"), receivedValueInUsd=num("cents - 3"), isOnlySwapRoute="CASE WHEN idx = 0 THEN 'true' ELSE 'false' END", userTxs=f"'[' || {user} || ']'",
-    )
-    asset = obj(symbol=text("'S' || CAST(o_custkey % 5 AS STRING)"), address=text("'0x'"))
-    request = obj(fromChainId=num("o_custkey % 5"), toChainId=num("l_orderkey % 5"), fromAmount=text("'100'"), fromTokenAddress=text("'a'"), toTokenAddress=text("'b'"))
-    result = obj(fromChainId=num("o_custkey % 5"), toChainId=num("l_orderkey % 5"), fromAsset=asset, toAsset=asset, routes="CASE WHEN o_orderstatus = 'P' THEN '[]' ELSE '[' || routes || ']' END")
-    return f"""
-    SELECT l_orderkey AS doc_id, {obj(payload=request, result=result)} AS doc
-    FROM (SELECT l_orderkey, o_custkey, o_orderstatus, {d.joined(route, 'idx')} AS routes FROM @fx_document_lines GROUP BY l_orderkey, o_custkey, o_orderstatus) x"""
+    def step(k: int) -> str:
+        return obj(type=text(f"'bridge{k}'"), fromAmount=text(num("cents")), toAmount=text(num("cents - 1")), protocol=obj(name=text("'p' || CAST(l_suppkey % 3 AS STRING)")))
+
+    def user(k: int) -> str:
+        return obj(userTxType=text("'fund'"), routePath=text(f"'path{k}'"), userTxIndex=f"'{k}'", steps=listed(step, "l_suppkey % 3"))
+
+    def route(k: int) -> str:
+        return obj(
+            routeId=text(f"line_id || '/{k}'"), fromAmount=text(num("cents")), toAmount=text(num("cents - 1")), usedBridgeNames="""'["b' || CAST(l_suppkey % 4 AS STRING) || '"]'""",
+            totalUserTx="'1'", totalGasFeesInUsd="'0.25'", inputValueInUsd=num("cents"), outputValueInUsd=num("cents - 2"), receivedValueInUsd=num(f"cents - {k}"),
+            isOnlySwapRoute=f"'{'true' if k == 0 else 'false'}'", userTxs=listed(user, "l_partkey % 2"),
+        )
+
+    asset = obj(symbol=text("'S' || CAST(l_partkey % 5 AS STRING)"), address=text("'0x'"))
+    request = obj(fromChainId=num("l_partkey % 5"), toChainId=num("l_orderkey % 5"), fromAmount=text("'100'"), fromTokenAddress=text("'a'"), toTokenAddress=text("'b'"))
+    routes = f"CASE WHEN l_linenumber = 7 THEN '[]' ELSE {listed(route, 'l_linenumber % 2')} END"
+    result = obj(fromChainId=num("l_partkey % 5"), toChainId=num("l_orderkey % 5"), fromAsset=asset, toAsset=asset, routes=routes)
+    return f"SELECT {obj(payload=request, result=result)} AS doc FROM @fx_document_lines"
 
 
 def quote_documents(t):
-    return D.parse_documents(t.fx_quote_documents.select("doc"), "doc", SC.QUOTE_DOCUMENTS)
+    return D.parse_documents(t.fx_quote_documents, "doc", SC.QUOTE_DOCUMENTS)
+
+
+_ROUTES = "(SELECT l.*, CAST(unnest([0, 1]) AS BIGINT) AS r FROM @fx_document_lines l WHERE l_linenumber <> 7)"
 
 
 @query(
     "S6_flatten_quotes",
-    """SELECT l_orderkey || '-' || idx AS routeid, o_custkey % 5 AS fromchainid, l_orderkey % 5 AS tochainid, 'S' || o_custkey % 5 AS fromasset_symbol, '["b' || l_suppkey % 4 || '"]' AS usedbridgenames,
-              CAST(cents AS DOUBLE) AS inputvalueinusd, CAST(cents - 3 AS DOUBLE) AS receivedvalueinusd, CASE WHEN idx = 0 THEN 'true' ELSE 'false' END AS isonlyswaproute
-       FROM @fx_document_lines WHERE o_orderstatus <> 'P'""",
+    f"""SELECT line_id || '/' || r AS routeid, l_partkey % 5 AS fromchainid, l_orderkey % 5 AS tochainid, 'S' || l_partkey % 5 AS fromasset_symbol, '["b' || l_suppkey % 4 || '"]' AS usedbridgenames,
+               CAST(cents AS DOUBLE) AS inputvalueinusd, CAST(cents - r AS DOUBLE) AS receivedvalueinusd, CASE WHEN r = 0 THEN 'true' ELSE 'false' END AS isonlyswaproute
+        FROM {_ROUTES} x WHERE r <= l_linenumber % 2""",
     "inputvalueinusd receivedvalueinusd",
 )
 def _(t):
@@ -151,27 +172,29 @@ def _(t):
 
 @query(
     "S7_flatten_steps",
-    """SELECT l_orderkey || '-' || idx AS route_id, 'r' || idx AS routepath, idx AS usertxindex, CAST(s AS BIGINT) AS step_id, 'bridge' AS type, CAST(cents AS VARCHAR) AS fromamount,
-              CAST(cents - 1 AS VARCHAR) AS toamount, 'p' || l_suppkey % 3 AS protocol_name FROM @fx_document_lines CROSS JOIN (SELECT unnest([0, 1]) AS s) u WHERE o_orderstatus <> 'P'""",
+    f"""SELECT line_id || '/' || r AS route_id, 'path' || u AS routepath, u AS usertxindex, s AS step_id, 'bridge' || s AS type, CAST(cents AS VARCHAR) AS fromamount,
+               CAST(cents - 1 AS VARCHAR) AS toamount, 'p' || l_suppkey % 3 AS protocol_name
+        FROM {_ROUTES} x CROSS JOIN (SELECT CAST(unnest([0, 1]) AS BIGINT) AS u) a CROSS JOIN (SELECT CAST(unnest([0, 1, 2]) AS BIGINT) AS s) b
+        WHERE r <= l_linenumber % 2 AND u <= l_partkey % 2 AND s <= l_suppkey % 3""",
 )
 def _(t):
     return D.flatten_steps(quote_documents(t))
 
 
-@query("S8_failed_calls", "SELECT 'p' || o_orderkey AS overallpath, 's' AS subpaths FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+@query("S8_failed_calls", "SELECT line_id AS overallpath, 's' AS subpaths FROM @fx_document_lines WHERE l_linenumber = 7 AND l_orderkey % 2 = 0")
 def _(t):
     return D.flatten_calls(route_documents(t))
 
 
 @query(
     "S8_empty_quote_calls",
-    "SELECT o_custkey % 5 AS result_fromchainid, o_orderkey % 5 AS result_tochainid, CAST(0 AS BIGINT) AS route_length FROM orders WHERE o_orderstatus = 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)",
+    "SELECT l_partkey % 5 AS result_fromchainid, l_orderkey % 5 AS result_tochainid, CAST(0 AS BIGINT) AS route_length FROM @fx_document_lines WHERE l_linenumber = 7",
 )
 def _(t):
     return D.flatten_calls(quote_documents(t)).select("result_fromchainid", "result_tochainid", "route_length")
 
 
-@query("S8_payloads", "SELECT o_custkey % 5 AS fromchainid, o_orderkey % 5 AS tochainid, '100' AS fromamount, 'a' AS fromtokenaddress, 'b' AS totokenaddress FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+@query("S8_payloads", "SELECT l_partkey % 5 AS fromchainid, l_orderkey % 5 AS tochainid, line_id AS fromamount, 'a' AS fromtokenaddress, 'b' AS totokenaddress FROM @fx_document_lines")
 def _(t):
     return D.flatten_payloads(route_documents(t))
 
@@ -196,7 +219,8 @@ def fx_day_documents(d):
         date=num("day"), totalTokensDeposited=entries(entry, "user_id % 2 = 0"), totalTokensWithdrawn=entries(entry, "user_id % 2 = 1"),
         totalAddressDeposited=entries(wallet, "user_id % 3 = 0"), totalAddressWithdrawn=entries(wallet, "user_id % 3 > 0"),
     )
-    return f"SELECT day AS doc_id, {obj(status_code="'200'", url=text("'https://x/' || CAST(day AS STRING) || '/Base?id=1'"), data=data)} AS doc FROM @fx_day_totals GROUP BY day"
+    # at most 50 users per document
+    return f"SELECT day AS doc_id, {obj(status_code="'200'", url=text("'https://x/' || CAST(day AS STRING) || '/Base?id=1'"), data=data)} AS doc FROM @fx_day_totals GROUP BY day, floor(user_id / 50)"
 
 
 def day_documents(t):
@@ -251,7 +275,8 @@ def fx_asset_documents(d):
     asset = obj(symbol=text("p_brand"), mainnetEquivalent=text("'0x' || CAST(p_partkey AS STRING)"), decimals=num("p_size"))
     cell = f"""'"0xk' || CAST(p_partkey AS STRING) || '":' || {asset}"""
     doc = obj(chainId=num("chain"), name=text("'chain ' || CAST(chain AS STRING)"), domainId=text(num("chain * 10")), confirmations="'1'", assetId="'{' || assets || '}'")
-    return f"SELECT chain AS doc_id, {doc} AS doc FROM (SELECT p_partkey % 25 AS chain, {d.joined(cell, 'p_partkey')} AS assets FROM @part GROUP BY 1) x"
+    # at most 40 assets per document
+    return f"SELECT chain AS doc_id, {doc} AS doc FROM (SELECT p_partkey % 25 AS chain, {d.joined(cell, 'p_partkey')} AS assets FROM @part GROUP BY 1, floor(p_partkey / 1000)) x"
 
 
 @query(
@@ -269,8 +294,8 @@ def fx_contract_documents(d):
     contract = obj(contract_address=text("'0x' || CAST(p_partkey AS STRING)"), platform=platform)
     cell = f"""'"' || brand_no || '":' || {obj(name=text("'token ' || brand_no"), symbol=text("'T' || brand_no"), contract_address="'[' || contracts || ']'")}"""
     return f"""
-    SELECT 1 AS doc_id, {obj(data=f"'{{' || {d.joined(cell, 'brand_no')} || '}}'")} AS doc
-    FROM (SELECT CAST(p_partkey % 40 AS STRING) AS brand_no, p_partkey % 8 AS part_no, {d.joined(contract, 'p_partkey')} AS contracts FROM @part GROUP BY 1, 2) x GROUP BY part_no"""
+    SELECT part_no AS doc_id, {obj(data=f"'{{' || {d.joined(cell, 'brand_no')} || '}}'")} AS doc
+    FROM (SELECT CAST(p_partkey % 40 AS STRING) AS brand_no, floor(p_partkey / 400) AS part_no, {d.joined(contract, 'p_partkey')} AS contracts FROM @part GROUP BY 1, 2) x GROUP BY part_no"""
 
 
 @query(
@@ -396,11 +421,11 @@ def _(t):
 
 @query(
     "S26_typed_records",
-    """SELECT l_orderkey || '-' || idx AS id, cents AS timestamp, 'S' || l_suppkey AS from_chain_symbol, CAST(cents AS VARCHAR) AS from_amount FROM @fx_document_lines""",
+    """SELECT line_id AS id, cents AS timestamp, 'S' || l_suppkey AS from_chain_symbol, CAST(cents AS VARCHAR) AS from_amount FROM @fx_document_lines""",
 )
 def _(t):
     record = F.struct(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("idx").cast("string")).alias("id"), F.col("cents").alias("timestamp"),
+        F.col("line_id").alias("id"), F.col("cents").alias("timestamp"),
         F.concat(F.lit("S"), "l_suppkey").alias("fromChainSymbol"), F.col("cents").cast("string").alias("fromAmount"),
     )
     rows = D.parse_documents(t.fx_document_lines.select(F.to_json(record).alias("doc")), "doc", SC.BRIDGE_TRANSFERS)

@@ -2,6 +2,8 @@
 
 All functions take a DataFrame read with a schema from ``schemas`` and use only
 ``explode`` and field access, so a file set of any size is split by the reader.
+Arrays are opened with ``explode_outer`` and a null filter: for ``explode`` the
+optimiser adds a size filter below it, which would parse JSON text twice.
 """
 
 from __future__ import annotations
@@ -64,15 +66,15 @@ def flatten_routes(docs: DataFrame, drop_incomplete: bool = True) -> DataFrame:
     ``i``-th step. Rows with a missing value are dropped, as a loader would.
     """
     keep = [c for c in docs.columns if c not in ("routes", "payload", "unavailableRoutes")]
-    routes = docs.select(*keep, F.explode("routes").alias("route"))
+    routes = docs.select(*keep, F.explode_outer("routes").alias("route")).where(F.col("route").isNotNull())
 
     def costs(kind: str) -> Column:
         return F.flatten(F.transform("route.steps", lambda s: F.coalesce(s["estimate"][kind], F.array())))
 
     steps = routes.select(
         *keep, "route", costs("feeCosts").alias("fees"), costs("gasCosts").alias("gases"),
-        F.posexplode("route.steps").alias("step_index", "step"),
-    ).select(
+        F.posexplode_outer("route.steps").alias("step_index", "step"),
+    ).where(F.col("step").isNotNull()).select(
         *keep, "route", "step_index", "step",
         F.get("fees", F.col("step_index")).alias("fee"), F.get("gases", F.col("step_index")).alias("gas"),
     )
@@ -94,7 +96,7 @@ def flatten_quotes(docs: DataFrame) -> DataFrame:
     """One row per quoted route with the response's own fields repeated."""
     meta = [f"result.{f.name}" for f in docs.schema["result"].dataType if f.name != "routes"]
     keep = [c for c in docs.columns if c not in ("result", "payload")]
-    rows = docs.select(*keep, *meta, F.explode("result.routes").alias("__route"))
+    rows = docs.select(*keep, *meta, F.explode_outer("result.routes").alias("__route")).where(F.col("__route").isNotNull())
     fields = [f.name for f in rows.schema["__route"].dataType]
     rows = rows.select(*[c for c in rows.columns if c != "__route"], *[F.col(f"__route.{c}").alias(c) for c in fields])
     return normalize_columns(flatten_structs(rows))
@@ -102,14 +104,14 @@ def flatten_quotes(docs: DataFrame) -> DataFrame:
 
 def flatten_steps(docs: DataFrame) -> DataFrame:
     """One row per step of a user transaction, numbered from 0 within it."""
-    routes = docs.select(F.explode("result.routes").alias("r"))
-    txs = routes.select(F.col("r.routeId").alias("route_id"), F.explode("r.userTxs").alias("u"))
+    routes = docs.select(F.explode_outer("result.routes").alias("r"))
+    txs = routes.select(F.col("r.routeId").alias("route_id"), F.explode_outer("r.userTxs").alias("u"))
     steps = txs.select(
         "route_id",
         F.col("u.routePath").alias("routePath"),
         F.col("u.userTxIndex").alias("userTxIndex"),
-        F.posexplode("u.steps").alias("step_id", "s"),
-    )
+        F.posexplode_outer("u.steps").alias("step_id", "s"),
+    ).where(F.col("s").isNotNull())
     return normalize_columns(
         steps.select("route_id", "routePath", "userTxIndex", "step_id", *_prefixed(steps, "s", ""))
     )
@@ -130,17 +132,10 @@ def flatten_payloads(docs: DataFrame) -> DataFrame:
 
 
 def _day_entries(docs: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    parts = None
-    for kind in kinds:
-        part = docs.select(
-            F.col("data.date").alias("date"),
-            "status_code",
-            "url",
-            F.lit(kind).alias("key_type"),
-            F.explode(F.col(f"data.{kind}")).alias("key", "total"),
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.select("date", "status_code", "url", "key_type", "key", "total.*")
+    sides = F.array(*[F.struct(F.lit(k).alias("key_type"), F.col(f"data.{k}").alias("totals")) for k in kinds])
+    rows = docs.select(F.col("data.date").alias("date"), "status_code", "url", F.explode_outer(sides).alias("side"))
+    rows = rows.select("date", "status_code", "url", "side.key_type", F.explode_outer("side.totals").alias("key", "total"))
+    return rows.where(F.col("key").isNotNull()).select("date", "status_code", "url", "key_type", "key", "total.*")
 
 
 def flatten_day_stats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -166,8 +161,8 @@ def flatten_chain_assets(docs: DataFrame) -> DataFrame:
 
 
 def flatten_token_contracts(docs: DataFrame) -> DataFrame:
-    tokens = docs.select(F.explode("data").alias("token_id", "t"))
-    rows = tokens.select("token_id", "t.name", "t.symbol", F.explode("t.contract_address").alias("c"))
+    tokens = docs.select(F.explode_outer("data").alias("token_id", "t"))
+    rows = tokens.select("token_id", "t.name", "t.symbol", F.explode_outer("t.contract_address").alias("c"))
     return rows.select(
         "token_id",
         F.col("name").alias("token_name"),
@@ -177,7 +172,7 @@ def flatten_token_contracts(docs: DataFrame) -> DataFrame:
         F.col("c.platform.coin.id").alias("platform_coin_id"),
         F.col("c.platform.coin.name").alias("platform_coin_name"),
         F.col("c.platform.coin.symbol").alias("platform_coin_symbol"),
-    )
+    ).where(F.col("contract_address").isNotNull())
 
 
 def normalize_multi_hop(df: DataFrame) -> DataFrame:
