@@ -67,10 +67,26 @@ def references(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"@(\w+)", sql)))
 
 
+# tables that carry the rows, with the columns that spread them
+FACTS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "events": ("event_id",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, *FACTS[name]) if name in FACTS else df
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows over all cores if the files give fewer splits than that; large tables stay as they are.
+
+    A test file of one row group would keep all later work in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *columns)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,11 +145,10 @@ def fx_aliases(d):
 def fx_token_metadata(d):
     # several addresses per chain and symbol; decimals follow the address
     return """
-    SELECT lower(n_name) AS blockchain, symbol, contract_address, decimals FROM @nation
-    CROSS JOIN (
-      SELECT DISTINCT p_brand AS symbol, '0x' || md5(p_brand || '-' || CAST(p_partkey % 3 AS STRING)) AS contract_address,
-             CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0 THEN '6' ELSE '8' END AS decimals
-      FROM @part) t"""
+    SELECT DISTINCT 'nation_' || CAST(p_partkey % 25 AS STRING) AS blockchain, p_brand AS symbol,
+           '0x' || md5(p_brand || '-' || CAST(p_partkey % 3 AS STRING)) AS contract_address,
+           CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0 THEN '6' ELSE '8' END AS decimals
+    FROM @part"""
 
 
 @fixture

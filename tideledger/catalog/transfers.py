@@ -37,10 +37,10 @@ def fx_public_transfers(d):
 @fixture
 def fx_domain_assets(d):
     return f"""
-    SELECT DISTINCT 'S' || CAST(p_partkey % 5 AS STRING) AS canonical_id, {DOMAIN.format(c='n_nationkey')} AS domain,
+    SELECT DISTINCT 'S' || CAST(p_partkey % 5 AS STRING) AS canonical_id, {DOMAIN.format(c='p_partkey')} AS domain,
            '0x' || md5('S' || CAST(p_partkey % 5 AS STRING)) AS local, 'a' || md5('S' || CAST(p_partkey % 5 AS STRING)) AS adopted,
-           CASE WHEN n_nationkey % 4 = 1 THEN '7' ELSE '6' END AS decimal, CASE WHEN p_partkey % 5 = 0 THEN '5' ELSE '6' END AS adopted_decimal
-    FROM @part CROSS JOIN @nation"""
+           CASE WHEN p_partkey % 4 = 1 THEN '7' ELSE '6' END AS decimal, CASE WHEN p_partkey % 5 = 0 THEN '5' ELSE '6' END AS adopted_decimal
+    FROM @part"""
 
 
 @fixture

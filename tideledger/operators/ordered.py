@@ -51,8 +51,13 @@ def with_row_number(df: DataFrame, *order: Column | str, name: str = "row_number
 
 
 def row_id(*columns: Column | str, prefix: str | None = None) -> Column:
-    """Deterministic surrogate id from business columns: no sort and no shuffle."""
-    digest = F.sha2(F.concat_ws("\u0001", *[F.coalesce(col(c).cast("string"), F.lit("\u0000")) for c in columns]), 256)
+    """Deterministic 128-bit surrogate id from business columns: no sort and no shuffle.
+
+    Nulls do not change ``xxhash64``, so null flags are hashed too.
+    """
+    parts = [col(c) for c in columns]
+    parts += [c.isNull() for c in parts]
+    digest = F.concat(F.hex(F.xxhash64(*parts)), F.hex(F.xxhash64(F.lit(1), *parts)))
     return digest if prefix is None else F.concat(F.lit(prefix + "_"), digest)
 
 
