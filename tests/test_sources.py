@@ -102,8 +102,7 @@ def test_no_symbol_runs_ahead(spark):
 
 def test_mart_splits_a_hot_partition_over_tasks(spark):
     path = new_path(spark, "mart")
-    # adaptive execution would join partitions this small again
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    K.write_mart(spark.range(1000).select("id", F.lit("hot").alias("bridge")), path, ["bridge"])
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert spark.read.parquet(path).count() == 1000 and len(spark.read.parquet(path).inputFiles()) > 1
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    K.write_mart(spark.range(20000).select("id", F.lit("hot").alias("bridge")), path, ["bridge"])
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.read.parquet(path).count() == 20000 and len(spark.read.parquet(path).inputFiles()) > 1

@@ -21,8 +21,9 @@ CHUNK = "__chunk"
 def ordered_chunks(df: DataFrame, *order: Column | str, rows_per_chunk: int | None = None) -> DataFrame:
     """Rows range-partitioned by ``order`` with the partition number stored as a column.
 
-    The number is fixed by a reliable checkpoint, so a lost executor cannot change
-    it. Rows equal on all of ``order`` stay together: end the list with a unique column.
+    The number is fixed by writing the rows to the shared folder, so a lost executor
+    cannot change it. Rows equal on all of ``order`` stay together: end the list with
+    a unique column.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if rows_per_chunk:

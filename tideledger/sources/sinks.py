@@ -23,10 +23,9 @@ def stamped(df: DataFrame, name: str = "uploaded_at", at=None) -> DataFrame:
 
 
 def write_mart(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Partitioned table. Rows spread over tasks by partition and a hash of the
-    row, so that one partition value with most rows is written by many tasks."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(32))
-    df.repartition(*[F.col(c) for c in by], spread).write.mode("overwrite").partitionBy(*by).parquet(path)
+    """Partitioned table. The rebalance hint lets adaptive execution join small
+    partitions and split one that holds most rows into files of the advisory size."""
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def with_month(df: DataFrame, ts: str) -> DataFrame:
