@@ -40,6 +40,10 @@ class SparkDialect:
     def joined(text: str, order: str) -> str:
         return f"listagg({text}, ',') WITHIN GROUP (ORDER BY {order})"
 
+    @staticmethod
+    def each(*values: str) -> str:
+        return "explode(array(" + ", ".join(f"'{v}'" for v in values) + "))"
+
 
 class DuckDialect:
     @staticmethod
@@ -54,6 +58,10 @@ class DuckDialect:
     def joined(text: str, order: str) -> str:
         return f"string_agg({text}, ',' ORDER BY {order})"
 
+    @staticmethod
+    def each(*values: str) -> str:
+        return "unnest([" + ", ".join(f"'{v}'" for v in values) + "])"
+
 
 VIEWS: dict[str, Callable[[type], str]] = {}
 

@@ -352,15 +352,12 @@ def _(t):
 
 @query(
     "J12_grid",
-    """SELECT a.chain_id AS from_id, b.chain_id AS to_id, s.symbol, n.amount FROM @fx_chains a CROSS JOIN @fx_chains b CROSS JOIN (SELECT DISTINCT symbol FROM @fx_chain_tokens) s
-       CROSS JOIN (SELECT CAST(unnest([1000, 10000]) AS BIGINT) AS amount) n WHERE a.chain_id <> b.chain_id""",
+    """SELECT a.*, s.symbol, CAST(n.amount AS BIGINT) AS amount FROM (SELECT DISTINCT from_id, to_id FROM @fx_moves) a CROSS JOIN (SELECT unnest(['ETH', 'USDC']) AS symbol) s
+       CROSS JOIN (SELECT unnest([1000, 10000]) AS amount) n WHERE a.from_id <> a.to_id""",
 )
 def _(t):
-    chains = t.fx_chains
-    amounts = T.literal(t.spark, [(1000,), (10000,)], "amount bigint")
-    return JN.grid(
-        chains.select(F.col("chain_id").alias("from_id")), chains.select(F.col("chain_id").alias("to_id")), t.fx_chain_tokens.select("symbol").distinct(), amounts
-    ).where("from_id != to_id")
+    pairs = t.fx_moves.select("from_id", "to_id").distinct().where("from_id != to_id")
+    return JN.grid(pairs, symbol=["ETH", "USDC"], amount=[1000, 10000])
 
 
 @query(

@@ -170,24 +170,19 @@ def _(t):
     return Q.latest_prices(t.fx_prices_hourly)
 
 
-def amounts(t):
-    return literal(t.spark, [(1000,), (10000,), (100000,)], "amount bigint")
-
-
-def aggregators(t):
-    return literal(t.spark, [("routes",), ("quotes",)], "aggregator string")
+AMOUNTS, AGGREGATORS = (1000, 10000, 100000), ("routes", "quotes")
 
 
 PLAN_SQL = f"""
-    SELECT f.chain_id AS from_chain_id, g.chain_id AS to_chain_id, f.symbol, amount, round(amount / p.price * pow(10, f.decimals), 0) AS from_amount,
+    SELECT f.chain_id AS from_chain_id, g.chain_id AS to_chain_id, f.symbol, CAST(amount AS BIGINT) AS amount, round(amount / p.price * pow(10, f.decimals), 0) AS from_amount,
            f.address AS from_token_address, g.address AS to_token_address, '{Q.PLANNING_ADDRESS}' AS from_address, aggregator
     FROM @fx_chain_tokens f JOIN @fx_chain_tokens g ON f.symbol = g.symbol AND f.chain_id <> g.chain_id
-    CROSS JOIN (SELECT CAST(unnest([1000, 10000, 100000]) AS BIGINT) AS amount) a CROSS JOIN (SELECT unnest(['routes', 'quotes']) AS aggregator) b
+    CROSS JOIN (SELECT CAST(unnest([1000, 10000, 100000]) AS INTEGER) AS amount) a CROSS JOIN (SELECT unnest(['routes', 'quotes']) AS aggregator) b
     LEFT JOIN @fx_latest_prices p ON f.symbol = p.symbol"""
 
 
 def plan(t):
-    return Q.plan_pathways(t.fx_chains, t.fx_chain_tokens, Q.latest_prices(t.fx_prices_hourly), amounts(t), aggregators(t))
+    return Q.plan_pathways(t.fx_chains, t.fx_chain_tokens, Q.latest_prices(t.fx_prices_hourly), AMOUNTS, AGGREGATORS)
 
 
 @query("D20_plan_pathways", PLAN_SQL, "from_amount")
@@ -214,7 +209,7 @@ def _(t):
                ceil(amount / p.price) * pow(10, f.decimals) AS from_amount, s.symbol AS asset, f.address AS from_token_address, f.decimals AS from_decimals,
                g.address AS to_token_address, g.decimals AS to_decimals, '{Q.PLANNING_ADDRESS}' AS from_address, aggregator, p.price, amount / p.price AS amount_value
         FROM (SELECT DISTINCT from_id AS origin_chain_id, to_id AS destination_chain_id FROM @fx_moves) h
-        CROSS JOIN (SELECT DISTINCT symbol FROM @fx_chain_tokens) s CROSS JOIN (SELECT CAST(unnest([1000, 10000, 100000]) AS BIGINT) AS amount) a
+        CROSS JOIN (SELECT unnest(['S0', 'S1', 'S2', 'S3', 'S4']) AS symbol) s CROSS JOIN (SELECT CAST(unnest([1000, 10000, 100000]) AS INTEGER) AS amount) a
         CROSS JOIN (SELECT unnest(['routes', 'quotes']) AS aggregator) b
         LEFT JOIN @fx_chain_tokens f ON s.symbol = f.symbol AND h.origin_chain_id = f.chain_id
         LEFT JOIN @fx_chain_tokens g ON s.symbol = g.symbol AND h.destination_chain_id = g.chain_id
@@ -224,7 +219,7 @@ def _(t):
 def _(t):
     pairs = t.fx_moves.select(F.col("from_id").alias("origin_chain_id"), F.col("to_id").alias("destination_chain_id")).distinct()
     return Q.top_pathways(
-        pairs, t.fx_chain_tokens, Q.latest_prices(t.fx_prices_hourly), amounts(t), aggregators(t), "2024-02-13 10:20:30"
+        pairs, ["S0", "S1", "S2", "S3", "S4"], t.fx_chain_tokens, Q.latest_prices(t.fx_prices_hourly), AMOUNTS, AGGREGATORS, "2024-02-13 10:20:30"
     )
 
 
@@ -252,7 +247,7 @@ def _(t):
 )
 def _(t):
     tools = t.fx_moves.select(F.col("from_id").alias("from_chain_id"), F.col("to_id").alias("to_chain_id"))
-    return Q.alternative_pairs(tools, t.fx_chains, aggregators(t))
+    return Q.alternative_pairs(tools, t.fx_chains, AGGREGATORS)
 
 
 @fixture

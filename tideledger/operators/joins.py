@@ -122,6 +122,8 @@ def full_on(left: DataFrame, right: DataFrame, on: Sequence[str], zeros: Sequenc
     return joined.fillna(0, subset=list(zeros)) if zeros else joined
 
 
-def grid(*tables: DataFrame) -> DataFrame:
-    """Cartesian grid of small literal or distinct tables."""
-    return reduce(lambda a, b: a.crossJoin(b), tables)
+def grid(df: DataFrame, **axes: Sequence) -> DataFrame:
+    """Every row once per combination of the given value lists, without a cross join."""
+    for name, values in axes.items():
+        df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    return df

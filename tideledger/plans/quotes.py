@@ -131,14 +131,14 @@ def _priced_symbol(symbol: str, synonyms: Sequence[str]) -> Column:
 
 
 def plan_pathways(
-    chains: DataFrame, tokens: DataFrame, prices: DataFrame, amounts: DataFrame, aggregators: DataFrame,
+    chains: DataFrame, tokens: DataFrame, prices: DataFrame, amounts: Sequence[int], aggregators: Sequence[str],
     as_weth: Sequence[str] = ("ETH", "ezETH", "nETH"),
 ) -> DataFrame:
     """Every ordered pair of chains x symbol held on both x amount x aggregator, in raw units.
 
-    ``chains.chain_id``; ``tokens``: chain_id, symbol, address, decimals;
-    ``prices``: symbol, price; ``amounts.amount``; ``aggregators.aggregator``. The grid
-    grows from the tokens both ends hold, so impossible pairs are never built.
+    ``chains.chain_id``; ``tokens``: chain_id, symbol, address, decimals; ``prices``:
+    symbol, price. The grid grows from the tokens both ends hold, so impossible pairs
+    are never built.
     """
     known = tokens.join(chains.select("chain_id").distinct(), "chain_id", "left_semi")
     sent = known.select(
@@ -147,7 +147,7 @@ def plan_pathways(
     )
     got = known.select(F.col("chain_id").alias("to_chain_id"), "symbol", F.col("address").alias("to_token_address"))
     pairs = sent.join(got, "symbol").where("from_chain_id != to_chain_id")
-    rows = grid(pairs, amounts.select("amount"), aggregators.select("aggregator"))
+    rows = grid(pairs, amount=amounts, aggregator=aggregators)
     rows = lookup(
         rows.withColumn("__ps", _priced_symbol("symbol", as_weth)), prices, {"__ps": "symbol"}, {"price": "price"}
     )
@@ -175,15 +175,15 @@ def supported_pathways(plan: DataFrame, aggregator: str, tokens: DataFrame, pair
 
 
 def top_pathways(
-    transfers: DataFrame, tokens: DataFrame, prices: DataFrame, amounts: DataFrame, aggregators: DataFrame, as_of: str,
+    transfers: DataFrame, symbols: Sequence[str], tokens: DataFrame, prices: DataFrame, amounts: Sequence[int],
+    aggregators: Sequence[str], as_of: str,
 ) -> DataFrame:
     """Given chain transfers x symbols x amounts x aggregators with addresses of both sides.
 
     ``transfers``: origin_chain_id, destination_chain_id; the amount is rounded up
     to a whole token. Missing tokens or prices leave nulls.
     """
-    symbols = tokens.select("symbol").distinct()
-    rows = grid(transfers, symbols, amounts.select("amount"), aggregators.select("aggregator"))
+    rows = grid(transfers, symbol=symbols, amount=amounts, aggregator=aggregators)
     for side, end in (("from", "origin_chain_id"), ("to", "destination_chain_id")):
         rows = lookup(
             rows, tokens, {"symbol": "symbol", end: "chain_id"},
@@ -217,12 +217,12 @@ def plan_power_amounts(pairs: DataFrame, tokens: DataFrame, symbols: Sequence[st
     ).distinct()
 
 
-def alternative_pairs(tools: DataFrame, chains: DataFrame, aggregators: DataFrame) -> DataFrame:
+def alternative_pairs(tools: DataFrame, chains: DataFrame, aggregators: Sequence[str]) -> DataFrame:
     """Distinct chain pairs of the tools, named, once per aggregator."""
     rows = tools.select(F.col("from_chain_id").cast("bigint"), F.col("to_chain_id").cast("bigint")).distinct()
     rows = lookup(rows, chains, {"from_chain_id": "chain_id"}, {"name": "from_chain_name"})
     rows = lookup(rows, chains, {"to_chain_id": "chain_id"}, {"name": "to_chain_name"})
-    return grid(rows, aggregators.select("aggregator")).distinct()
+    return grid(rows, aggregator=aggregators).distinct()
 
 
 ENDS = ["from_chain_id", "from_token_address", "to_chain_id", "to_token_address"]
