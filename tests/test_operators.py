@@ -59,8 +59,10 @@ def test_either_key_lookup_does_not_repeat_rows(spark):
 
 def test_running_total_shares_ties_and_crosses_days(spark):
     rows = [("k", at(hours=1), 5.0), ("k", at(hours=1), -2.0), ("k", at(days=1, seconds=1), 4.0), ("k", at(days=40), 1.0), (None, at(hours=1), 9.0), (None, at(days=2), 1.0)]
-    got = [(r.key, r.running) for r in O.running_total(spark.createDataFrame(rows, "key string, ts timestamp, v double"), ["key"], "ts", "v").orderBy("key", "ts").collect()]
-    assert got == [(None, 9.0), (None, 10.0), ("k", 3.0), ("k", 7.0), ("k", 8.0)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp, v double")
+    for units in (("day",), ("day", "second")):
+        got = [(r.key, r.running) for r in O.running_total(df, ["key"], "ts", "v", units=units).orderBy("key", "ts").collect()]
+        assert got == [(None, 9.0), (None, 10.0), ("k", 3.0), ("k", 7.0), ("k", 8.0)]
 
 
 def test_rank_of_hot_groups_equals_plain_rank(spark):
@@ -122,7 +124,7 @@ def walk(rows, size, hours):
 def test_batches_equal_the_row_by_row_walk_over_many_chunks(spark):
     random.seed(5)
     rows, ident = [], 0
-    for key, n in (("hot", 1500), ("warm", 120), ("one", 1)):
+    for key, n in (("hot", 1500), ("warm", 120), ("one", 1), (None, 200)):
         t = T0
         for _ in range(n):
             t += timedelta(seconds=random.choice([0, 0, 1, 30, 600, 4000]))
@@ -132,7 +134,7 @@ def test_batches_equal_the_row_by_row_walk_over_many_chunks(spark):
     for size, hours in ((7, 1), (1, 5), (50, 0.5), (10_000, 2)):
         got = batch_transfers(df, ["k"], "t", "id", size, hours, rows_per_chunk=90).collect()
         want = {}
-        for key in ("hot", "warm", "one"):
+        for key in ("hot", "warm", "one", None):
             want |= walk([(t, i) for i, k, t, _ in rows if k == key], size, hours)
         assert {r.id: r.batch_id for r in got} == want
 

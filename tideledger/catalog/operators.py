@@ -569,7 +569,7 @@ def _(t):
 )
 def _(t):
     signed = t.fx_ledger.withColumn("v", F.when(F.col("event") == "Add", F.col("amount")).otherwise(-F.col("amount")))
-    return O.running_total(signed, ["router", "asset", "chain"], "ts", "v")
+    return O.running_total(signed, ["router", "asset", "chain"], "ts", "v", units=("day", "second"))
 
 
 @query("W7_forward_fill", "SELECT event_id, user_id, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts) AS filled FROM (SELECT *, CASE WHEN event_type = 'view' THEN value END AS v FROM events) x", "filled")

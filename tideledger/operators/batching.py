@@ -11,6 +11,7 @@ parallel, the summaries are chained per key, and rows are numbered in parallel.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,14 +29,17 @@ def _next_start(times: np.ndarray, size: int, span: int) -> np.ndarray:
 def summarise_stretch(times: np.ndarray, size: int, span: int) -> dict[str, np.ndarray]:
     """For each possible first start: start time and rows of the batch left open, and batches begun."""
     n = len(times)
-    nxt = _next_start(times, size, span)
-    last, begun = np.arange(n), np.ones(n, dtype=np.int64)
+    nxt = _next_start(times, size, span).tolist()
+    last, begun = list(range(n)), [1] * n
     for i in range(n - 1, -1, -1):
         if nxt[i] < n:
             last[i] = last[nxt[i]]
             begun[i] += begun[nxt[i]]
-    head = slice(0, min(size, n))
-    return {"head": times[head], "open_start": times[last[head]], "open_rows": n - last[head], "begun": begun[head]}
+    first = min(size, n)
+    opened = np.array(last[:first])
+    return {
+        "head": times[:first], "open_start": times[opened], "open_rows": n - opened, "begun": np.array(begun[:first]),
+    }
 
 
 def first_start(head: np.ndarray, length: int, size: int, span: int, start: int | None, rows: int) -> int:
@@ -66,6 +70,12 @@ def batch_transfers(
     fields = {f.name: f.dataType for f in chunks.schema}
     key_ddl = ", ".join(f"`{k}` {fields[k].simpleString()}" for k in keys)
 
+    # a chunk border lies inside one key at most, so there are fewer such keys than chunks
+    spanning = chunks.groupBy(*keys).agg(F.min(CHUNK).alias("__lo"), F.max(CHUNK).alias("__hi")).where("__lo < __hi")
+    renamed = spanning.select(*[F.col(k).alias(f"__r_{k}") for k in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    stretches = chunks.select(*keys, CHUNK, "__us").join(F.broadcast(renamed), same, "left_semi")
+
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf["__us"].to_numpy())
         parts = summarise_stretch(times, size, span)
@@ -73,22 +83,19 @@ def batch_transfers(
         return pd.DataFrame([{**row, "length": len(times), **{k: v.tolist() for k, v in parts.items()}}])
 
     stretch_ddl = "length bigint, head array<bigint>, open_start array<bigint>, open_rows array<bigint>, begun array<bigint>"
-    summaries = (
-        chunks.select(*keys, CHUNK, "__us")
-        .groupBy(*keys, CHUNK)
-        .applyInPandas(summarise, f"{key_ddl}, {CHUNK} int, {stretch_ddl}")
-    )
+    summaries = stretches.groupBy(*keys, CHUNK).applyInPandas(summarise, f"{key_ddl}, {CHUNK} int, {stretch_ddl}")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(CHUNK, ignore_index=True)
         start, rows, done, out = None, 0, 0, []
-        for s in pdf.sort_values(CHUNK).itertuples(index=False):
+        for s in pdf.itertuples(index=False):
             out.append((start, rows, done))
             p = first_start(np.asarray(s.head), s.length, size, span, start, rows)
             if p < s.length:
                 start, rows, done = int(s.open_start[p]), int(s.open_rows[p]), done + int(s.begun[p])
             else:
                 rows += s.length
-        entry = pdf.sort_values(CHUNK)[[*keys, CHUNK]].reset_index(drop=True)
+        entry = pdf[[*keys, CHUNK]].copy()
         entry["entry_start"] = pd.array([o[0] for o in out], dtype="Int64")
         entry["entry_rows"] = [o[1] for o in out]
         entry["entry_done"] = [o[2] for o in out]
@@ -98,25 +105,36 @@ def batch_transfers(
     entries = summaries.groupBy(*keys).applyInPandas(
         chain, f"{key_ddl}, {CHUNK} int, entry_start bigint, entry_rows bigint, entry_done bigint"
     )
-    wide = chunks.join(entries, [*keys, CHUNK])
+    held = entries.select(
+        *[F.col(k).alias(f"__r_{k}") for k in keys], F.col(CHUNK).alias("__r_chunk"), "entry_start", "entry_rows", "entry_done"
+    )
+    wide = chunks.join(F.broadcast(held), same & (F.col(CHUNK) == F.col("__r_chunk")), "left")
+    wide = wide.drop("__r_chunk", *[f"__r_{k}" for k in keys])
     columns = [c for c in chunks.columns if c not in (CHUNK, "__us")]
     out_ddl = ", ".join(f"`{c}` {fields[c].simpleString()}" for c in columns)
 
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__us", tie_breaker], kind="stable")
-        times = pdf["__us"].to_numpy()
-        entry = pdf.iloc[0]
-        start = None if pd.isna(entry["entry_start"]) else int(entry["entry_start"])
-        p = first_start(times[:size], len(times), size, span, start, int(entry["entry_rows"]))
-        opens = np.zeros(len(times), dtype=np.int64)
-        nxt = _next_start(times, size, span)
-        while p < len(times):
-            opens[p] = 1
-            p = int(nxt[p])
-        pdf["batch_id"] = int(entry["entry_done"]) + np.cumsum(opens)
+        pdf["__code"] = pdf.groupby(list(keys), dropna=False, sort=False).ngroup()
+        pdf = pdf.sort_values(["__code", "__us", tie_breaker], kind="stable", ignore_index=True)
+        times, codes = pdf["__us"].to_numpy(), pdf["__code"].to_numpy()
+        starts, rows, done = (pdf[f"entry_{c}"] for c in ("start", "rows", "done"))
+        edges = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(pdf)]
+        ids = np.zeros(len(pdf), dtype=np.int64)
+        for lo, hi in zip(edges, edges[1:]):
+            carried = not pd.isna(starts[lo])
+            p = first_start(
+                times[lo : min(lo + size, hi)], hi - lo, size, span,
+                int(starts[lo]) if carried else None, int(rows[lo]) if carried else 0,
+            )
+            nxt = _next_start(times[lo:hi], size, span).tolist()
+            while p < hi - lo:
+                ids[lo + p] = 1
+                p = nxt[p]
+            ids[lo:hi] = np.cumsum(ids[lo:hi]) + (int(done[lo]) if carried else 0)
+        pdf["batch_id"] = ids
         return pdf[[*columns, "batch_id"]]
 
-    return wide.groupBy(*keys, CHUNK).applyInPandas(number, f"{out_ddl}, batch_id bigint")
+    return wide.groupBy(CHUNK).applyInPandas(number, f"{out_ddl}, batch_id bigint")
 
 
 def aggregate_batches(batched: DataFrame, keys: Sequence[str], ts: str, sums: Sequence[str], as_of=None) -> DataFrame:

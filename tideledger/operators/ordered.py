@@ -103,29 +103,26 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Dat
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str = "running", coarse: str = "day"
+    df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str = "running", units: Sequence[str] = ("day",)
 ) -> DataFrame:
     """One row per (keys, ts) with the running sum; rows of equal time share it.
 
-    Amounts are summed per (keys, ts), per (keys, ``coarse`` unit) and per
-    second inside it, so that no window sees more than the units of one level.
+    Amounts are summed per (keys, ts) and per (keys, unit). A window holds the units
+    of a key, or the distinct times inside one unit: at most 86,400 for whole seconds
+    and days. For finer times pass ``("day", "second")``.
     """
-    per_time = df.groupBy(*keys, ts).agg(F.sum(value).alias(name))
-    return _prefix(per_time, [*keys], ts, name, [coarse, "second"])
-
-
-def _prefix(df: DataFrame, keys: list[str], ts: str, value: str, units: list[str]) -> DataFrame:
-    if not units:
-        w = Window.partitionBy(*keys).orderBy(ts)
-        return df.withColumn(value, F.sum(value).over(w))
-    unit, rest = f"__{units[0]}", units[1:]
-    df = df.withColumn(unit, F.date_trunc(units[0], F.col(ts)))
-    inner = _prefix(df, [*keys, unit], ts, value, rest)
-    w = Window.partitionBy(*keys).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
-    opening = (
-        df.groupBy(*keys, unit)
-        .agg(F.sum(value).alias("__sum"))
-        .select(*keys, unit, F.coalesce(F.sum("__sum").over(w), F.lit(0.0)).alias("__open"))
-    )
-    joined = _null_safe_join(inner, opening, [*keys, unit])
-    return joined.withColumn(value, F.col(value) + F.col("__open")).drop("__open", unit)
+    raw = df.withColumns({f"__{u}": F.date_trunc(u, F.col(ts)) for u in units})
+    levels = [f"__{u}" for u in units]
+    out = raw.groupBy(*keys, *levels, ts).agg(F.sum(value).alias(name))
+    out = out.withColumn(name, F.sum(name).over(Window.partitionBy(*keys, *levels).orderBy(ts)))
+    for depth in range(len(levels), 0, -1):
+        outer, unit = levels[: depth - 1], levels[depth - 1]
+        before = Window.partitionBy(*keys, *outer).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
+        opening = (
+            raw.groupBy(*keys, *levels[:depth])
+            .agg(F.sum(value).alias("__sum"))
+            .select(*keys, *levels[:depth], F.coalesce(F.sum("__sum").over(before), F.lit(0.0)).alias("__open"))
+        )
+        out = _null_safe_join(out, opening, [*keys, *levels[:depth]])
+        out = out.withColumn(name, F.col(name) + F.col("__open")).drop("__open")
+    return out.drop(*levels)
