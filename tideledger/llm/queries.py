@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideledger.llm import exact_dedup, packing, token_counts, token_output
+from tideledger.llm import decontaminate, exact_dedup, licenses, packing, pii, quality, token_counts, token_output
 from tideledger.llm.common import documents
 from tideledger.session import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), BYTE_BPE)
 
@@ -26,13 +30,35 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(documents(spark, sf_dir))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(documents(spark, sf_dir)))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_output.write_token_ids(documents(spark, sf_dir), BYTE_BPE, new_path(spark, "token-ids"))
     return token_output.token_digests(spark, path)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op6_exact_dedup, op9_token_output)
+    f.__name__: f
+    for f in (
+        op2_benchmark_decontamination,
+        op3_best_fit_packing,
+        op5_token_counts,
+        op6_exact_dedup,
+        op7_quality_classifier,
+        op8_personal_data,
+        op9_token_output,
+        op10_license_scan,
+    )
 }
 
 ORACLES: dict[str, str] = {
