@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideledger.llm import decontaminate, exact_dedup, licenses, packing, pii, quality, token_counts, token_output
+from tideledger.llm import decontaminate, exact_dedup, licenses, ngram_join, packing, pii, quality, token_counts, token_output
 from tideledger.llm.common import documents
 from tideledger.session import new_path
 
@@ -22,6 +22,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(documents(spark, sf_dir), ngram_join.Similarity(width=3, over=9, under=10))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), BYTE_BPE)
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_benchmark_decontamination,
         op3_best_fit_packing,
+        op4_ngram_jaccard_join,
         op5_token_counts,
         op6_exact_dedup,
         op7_quality_classifier,

@@ -79,10 +79,18 @@ class _Lengths(dict):
             self.update(self.frequent)
 
 
+_KNOWN: dict[tuple[str, int], _Lengths] = {}
+
+
 def _count(spec, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(spec.value)
-        known = _Lengths(encoder.library, frequent.value)
+        # a worker runs many tasks of this broadcast and keeps its cache
+        key = (str(frequent.id), hash(spec.value))
+        if key not in _KNOWN:
+            _KNOWN.clear()
+            _KNOWN[key] = _Lengths(encoder.library, frequent.value)
+        known = _KNOWN[key]
         for batch in batches:
             counts = []
             for text in batch.column("text"):
