@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideledger.session import new_path
@@ -14,6 +16,8 @@ from tideledger.session import new_path
 BLANKS = r"[\x20\x09-\x0D]+"
 # a tokenizer file is sent to every worker; larger ones are refused
 SPEC_BYTES = 64 << 20
+MAP_BITS = 1 << 23
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,13 +30,62 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends there and Python code behind it runs once."""
+    """``df`` as a table in the shared folder: lineage ends there and Python code behind it runs once.
+
+    Spark frees the write's shuffle files when it ends, for nothing reads them again.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _place() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+
+
+def _marked(bits, wanted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("place").to_numpy()
+            marked = ((bits.value[places >> 6] >> (places & 63)) & 1).astype(bool)
+            yield batch.filter(pa.array(marked == wanted)).drop_columns(["place"])
+
+    return run
+
+
+class IdMap:
+    """Which ids are in a table, as a bit map of fixed size that every task gets.
+
+    An id of the table is always marked; others are too where the map is crowded. What a caller does with marked rows must be
+    right for those as well, so the map spares shuffles but decides nothing.
+    """
+
+    def __init__(self, ids: DataFrame):
+        words = ids.select(_place().alias("place"))
+        words = words.select(F.expr("place div 64").alias("word"), F.expr("shiftleft(1L, int(place % 64))").alias("bit"))
+        bits = np.zeros(MAP_BITS // 64, np.int64)
+        for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+            bits[row.word] = row.bits
+        self.sent = ids.sparkSession.sparkContext.broadcast(bits)
+
+    def rows(self, docs: DataFrame, marked: bool) -> DataFrame:
+        """The rows (``doc_id``, ``text``) whose id is marked, or those whose id isn't."""
+        found = docs.select("doc_id", "text", _place().alias("place"))
+        return found.mapInArrow(_marked(self.sent, marked), "doc_id long, text string")
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (``doc_id``, ``text``) whose id isn't in ``ids``; only texts that may be are shuffled."""
+    known = IdMap(ids)
+    return known.rows(docs, False).unionAll(known.rows(docs, True).join(ids.select("doc_id"), "doc_id", "left_anti"))
+
+
 def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` (null is an id too) is in ``decisions``, with the columns of ``docs``."""
     kept = decisions.select(F.col("doc_id").alias("__kept_id"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideledger.llm.common import keep_rows, texts, written
+from tideledger.llm.common import IdMap, keep_rows, texts, written
 from tideledger.llm.components import components
 from tideledger.llm.shingles import batches_of_sets, mixed, shingle_sets
 
@@ -24,8 +24,6 @@ CHOICES = (1, 3, 4, 6, 0)
 CHECK_COST, COMMON = 50.0, 1e-5
 #: Sets that one task compares with as many others.
 BLOCK = 256
-#: Bits of the map of candidate documents; a fuller map only lets more texts through.
-MAP_BITS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -264,27 +262,6 @@ def _compare(similarity: Similarity):
     return run
 
 
-def _only_marked(bits):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = batch.column("place").to_numpy()
-            marked = (bits.value[hashes >> 6] >> (hashes & 63)) & 1
-            yield batch.filter(pa.array(marked.astype(bool))).drop_columns(["place"])
-
-    return run
-
-
-def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id may be among ``ids``, by a bit map of fixed size that every task gets."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
-    words = ids.select(place.alias("place")).select(F.expr("place div 64").alias("word"), F.expr("shiftleft(1L, int(place % 64))").alias("bit"))
-    bits = np.zeros(MAP_BITS // 64, np.int64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        bits[row.word] = row.bits
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-    return docs.withColumn("place", place).mapInArrow(_only_marked(sent), "doc_id long, text string")
-
-
 def _joined_pairs(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     one = bodies.select(F.col("one").alias("low"), F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = bodies.select(F.col("one").alias("name"), F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -341,7 +318,7 @@ def _found_links(rows: DataFrame, sized: DataFrame, classes: DataFrame, similari
     found = written(found, "candidates")
     if not found.limit(1).count():
         return None
-    bodies = _marked(rows, found.select(F.col("rep").alias("doc_id")))
+    bodies = IdMap(found.select(F.col("rep").alias("doc_id"))).rows(rows, True)
     bodies = bodies.join(found, bodies["doc_id"] == found["rep"]).select("one", "doc_id", "text").dropDuplicates(["one", "doc_id"])
     bodies = written(bodies, "bodies")
     first = written(_joined_pairs(pairs, bodies).mapInArrow(_verify(similarity), "a long, b long"), "links")

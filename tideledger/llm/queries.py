@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideledger.llm import decontaminate, exact_dedup, licenses, ngram_join, packing, pii, quality, token_counts, token_output
+from tideledger.llm import decontaminate, exact_dedup, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_counts, token_output
 from tideledger.llm.common import documents
 from tideledger.session import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), with_text=False).drop("kept")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -54,6 +58,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_benchmark_decontamination,
         op3_best_fit_packing,
         op4_ngram_jaccard_join,
