@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,18 +80,17 @@ class _Lengths(dict):
             self.update(self.frequent)
 
 
-_KNOWN: dict[tuple[str, int], _Lengths] = {}
+_KNOWN: dict[str, _Lengths] = {}
 
 
-def _count(spec, frequent):
+def _count(spec, frequent, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(spec.value)
-        # a worker runs many tasks of this broadcast and keeps its cache
-        key = (str(frequent.id), hash(spec.value))
-        if key not in _KNOWN:
+        # a worker runs many tasks of one call and keeps its cache
+        if name not in _KNOWN:
             _KNOWN.clear()
-            _KNOWN[key] = _Lengths(encoder.library, frequent.value)
-        known = _KNOWN[key]
+            _KNOWN[name] = _Lengths(encoder.library, frequent.value)
+        known = _KNOWN[name]
         for batch in batches:
             counts = []
             for text in batch.column("text"):
@@ -123,5 +123,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     spec = sent_spec(spark, path)
     frequent = spark.sparkContext.broadcast(frequent_lengths(docs, path) if loaded(spec.value).quick else {})
     counted = texts(docs).select("doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"))
-    counted = counted.mapInArrow(_count(spec, frequent), "doc_id long, n_bytes long, n_tokens long")
+    counted = counted.mapInArrow(_count(spec, frequent, uuid.uuid4().hex), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
