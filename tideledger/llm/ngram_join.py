@@ -236,7 +236,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(similarity: Similarity):
-    """Links between the sets of a block of one signature's sets that aren't in one component yet, as few as connect them."""
+    """Links between the sets of a block that aren't in one component yet, as few as connect them."""
 
     def run(block: pa.Table) -> pa.Table:
         ids, component = block.column("doc_id").to_pylist(), np.array(block.column("component").to_pylist())
@@ -281,9 +281,9 @@ def near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     2. Every set gives out its signatures; sets that share one are candidates. The signature table is sorted once, and each
        candidate meets the first set of its signature.
     3. Those pairs are verified on whole texts, which are fetched for candidates only, and linked sets become components.
-    4. Within signatures that still hold several components, all pairs across components are compared, in blocks, and only
-       links that connect components leave a block. So every candidate pair is compared or already connected, and no group's
-       pairs are ever listed.
+    4. Sets of signatures that still hold several components are compared across components, in blocks, and only links that
+       connect components leave a block. So every candidate pair is compared or already connected, and no group's pairs are
+       ever listed.
     """
     rows = texts(docs)
     sized = rows.mapInArrow(_describe(similarity.width), "doc_id long, n_shingles long, one long, two long")
@@ -322,30 +322,31 @@ def _found_links(rows: DataFrame, sized: DataFrame, classes: DataFrame, similari
     bodies = bodies.join(found, bodies["doc_id"] == found["rep"]).select("one", "doc_id", "text").dropDuplicates(["one", "doc_id"])
     bodies = written(bodies, "bodies")
     first = written(_joined_pairs(pairs, bodies).mapInArrow(_verify(similarity), "a long, b long"), "links")
-    known = components(first)
+    return first.unionAll(written(_compared(members, found, bodies, components(first, 2), similarity), "links"))
 
-    # what is left: signatures whose sets are in several components; those with the same sets are taken once
+
+def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: DataFrame, similarity: Similarity) -> DataFrame:
+    """Links across the components ``known`` between sets that share a signature, apart from each signature's first set.
+
+    Sets go into blocks with others that met the same first set; a block is compared with itself and with every block that it
+    shares an open signature with. So a text is sent once for each such pair of blocks, however many signatures two sets share.
+    """
     belongs = found.join(known, found["rep"] == known["node"], "left")
-    belongs = belongs.select(F.col("one").alias("name"), F.coalesce("component", "rep").alias("component"))
+    belongs = belongs.select(F.col("one").alias("name"), F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("component"))
     placed = members.join(belongs, "name")
-    summed = placed.groupBy("signature").agg(
-        F.count("*").alias("size"),
-        F.sum(F.xxhash64("name") % (1 << 30)).alias("sum"),
-        F.bit_xor(F.xxhash64("name", F.lit(3))).alias("mark"),
-        F.min("component").alias("least"),
-        F.max("component").alias("most"),
-    )
-    open_ = summed.filter("size > 1 AND least != most").groupBy("size", "sum", "mark").agg(F.min("signature").alias("signature"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_ = open_.select("signature", blocks.alias("blocks"))
-    dealt = placed.join(open_, "signature").withColumn("own", F.pmod(F.hash("name"), "blocks"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "signature", "name", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    )
-    full = dealt.join(bodies.withColumnRenamed("one", "name"), "name").select("signature", "i", "j", "doc_id", "component", "text")
-    rest = full.groupBy("signature", "i", "j").applyInArrow(_compare(similarity), "a long, b long")
-    return first.unionAll(written(rest, "links"))
+    open_ = placed.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    placed = written(placed.join(open_.filter("least != most").select("signature"), "signature"), "open")
+    met = placed.groupBy("name", "doc_id", "component").agg(F.min("low").alias("first"))
+    blocks = met.groupBy("first").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = met.join(blocks, "first").withColumn("block", F.xxhash64("first", F.pmod(F.hash("name", "doc_id"), "blocks")))
+    dealt = written(dealt.select("name", "doc_id", "component", "block"), "blocks")
+    there = placed.join(dealt, ["name", "doc_id"]).select("signature", "block").distinct()
+    there = written(there, "shared")
+    pairs = there.withColumnRenamed("block", "i").join(there.withColumnRenamed("block", "j"), "signature").filter("i <= j")
+    pairs = pairs.select("i", "j").distinct().withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    texts_ = dealt.join(bodies.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id")
+    full = pairs.join(texts_, "block").select("i", "j", "doc_id", "component", "text")
+    return full.groupBy("i", "j").applyInArrow(_compare(similarity), "a long, b long")
 
 
 def drop_near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
