@@ -70,10 +70,19 @@ def test_rank_of_hot_groups_equals_plain_rank(spark):
     rows = [(i, random.choice(["hot", "hot", "hot", "b", None]), random.choice([None, *range(20)])) for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, g string, v int")
     want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
-    got = O.ranked(df, ["g"], "v", "r", hot_rows=0)
+    got = O.ranked(df, ["g"], "v", "r")
     assert {x.id: x.r for x in got.collect()} == {x.id: x.r for x in want.collect()}
 
 
+def test_dimension_rows_with_one_key_in_any_order(spark):
+    facts = spark.createDataFrame([(1, "a")], "k int, name string")
+    for rows in ([(1, "b"), (1, "a")], [(1, "a"), (1, "b")]):
+        dim = spark.createDataFrame(rows, "key int, value string")
+        assert JN.lookup_roles(facts, dim, "key", "value", {"k": "found"}).first().found == "a"
+        wide = dim.select("key", F.col("key").alias("other"), "value")
+        assert JN.either_key_lookup(facts, wide, "k", ["key", "other"], {}, {"value": "found"}).first().found == "a"
+
+
 def test_row_numbers_are_exact(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"))
     got = O.with_row_number(df, "x", name="n").collect()

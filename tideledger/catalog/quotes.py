@@ -97,7 +97,7 @@ RANK_SQL = f"""
 
 @query("D18_rank_bridges", RANK_SQL, "price")
 def _(t):
-    return Q.rank_bridges(Q.clean_quotes(*both(t)))
+    return Q.rank_bridges(Q.distinct_quotes(*both(t)))
 
 
 @query(
@@ -133,7 +133,7 @@ def _(t):
     volume = B.all_bridge_volume(*[B.bridge_volume(volume_input(t, b), b, "day", prices) for b in ("A", "N", "R")])
     back = {v: k for k, v in CHAIN_ID_NAMES.items() if k in (1, 10, 137, 42161)}
     ids = literal(t.spark, [(k, str(v)) for k, v in back.items()], "chain string, code string")
-    r = Q.rank_bridges(Q.clean_quotes(*both(t)))
+    r = Q.rank_bridges(Q.distinct_quotes(*both(t)))
     for side, prefix in (("from", "CHAIN_"), ("to", "chain_")):
         named = ids.select(F.col("chain").alias(f"{side}_chain"), F.col("code").alias("__code"))
         r = r.join(F.broadcast(named), f"{side}_chain", "left")

@@ -43,8 +43,11 @@ def lookup(
 
 
 def lookup_roles(df: DataFrame, dim: DataFrame, key: str, value: str, roles: Mapping[str, str]) -> DataFrame:
-    """The same dimension under several roles: fact column -> new column name."""
-    dim = dim.select(key, value).dropDuplicates([key])
+    """The same dimension under several roles: fact column -> new column name.
+
+    Of several rows with one key the smallest value is taken, so the result doesn't depend on their order.
+    """
+    dim = dim.groupBy(key).agg(F.min(value).alias(value))
     for fact, name in roles.items():
         df = lookup(df, dim, {fact: key}, {value: name})
     return df
@@ -70,13 +73,17 @@ def price_roles(
 def either_key_lookup(
     df: DataFrame, dim: DataFrame, fact_key: str, dim_keys: Sequence[str], same: Mapping[str, str], take: Mapping[str, str]
 ) -> DataFrame:
-    """``fact_key = any of dim_keys`` as one equi join: each key becomes a row first."""
+    """``fact_key = any of dim_keys`` as one equi join: each key becomes a row first.
+
+    Of several dimension rows for one key the one with the smallest ``take`` values, compared in order, is taken.
+    """
     long = dim.select(
         F.explode(F.array_distinct(F.array(*[F.col(k) for k in dim_keys]))).alias("__key"),
         *[F.col(d) for d in same.values()],
         *[F.col(c) for c in take],
     )
-    long = long.dropDuplicates(["__key", *same.values()])
+    least = long.groupBy("__key", *same.values()).agg(F.min(F.struct(*take)).alias("__least"))
+    long = least.select("__key", *same.values(), *[F.col("__least")[c].alias(c) for c in take])
     return lookup(df, long, {fact_key: "__key", **same}, take)
 
 

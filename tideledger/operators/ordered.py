@@ -62,33 +62,26 @@ def row_id(*columns: Column | str, prefix: str | None = None) -> Column:
     return digest if prefix is None else F.concat(F.lit(prefix + "_"), digest)
 
 
-def ranked(
-    df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True,
-    hot_rows: int = 5_000_000, members: DataFrame | None = None,
-) -> DataFrame:
-    """SQL ``RANK()`` of ``value`` within ``keys``, also for keys too large for one task.
-
-    Group sizes are counted first (on ``members``, a cheaper table with at least the
-    same rows per key, if given). If none exceeds ``hot_rows`` a plain window does.
-    Otherwise ranks come from counts per distinct value over range chunks.
+def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """SQL ``RANK()`` of a numeric ``value`` within ``keys``, also for keys too large for one task.
+
+    One lazy plan for every size: rows are counted per distinct value, values fall into levels that rise with them (16 for
+    each doubling), a window holds one level's distinct values or one key's levels, and ranks join back to the rows.
     """
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    sizes = (df if members is None else members).groupBy(*keys).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    chunks = ordered_chunks(counts, *keys, order)
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        chunks.groupBy(*keys, CHUNK)
-        .agg(F.sum("__n").alias("__n"))
-        .select(*keys, CHUNK, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    )
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = _null_safe_join(
-        chunks.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0))), offsets, [*keys, CHUNK]
-    ).select(*keys, value, (F.col("__offset") + F.col("__before") + 1).alias(name))
+    number = F.col(value).cast("double")
+    counts = counts.withColumn("__level", F.signum(number) * F.rint(16 * F.log2(1 + F.abs(number))))
+
+    def order(c: str) -> Column:
+        return F.col(c).desc() if descending else F.col(c).asc()
+
+    earlier = Window.partitionBy(*keys).orderBy(order("__level")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = counts.groupBy(*keys, "__level").agg(F.sum("__n").alias("__m"))
+    levels = levels.select(*keys, "__level", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy(*keys, "__level").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    ranks = _null_safe_join(counts, levels, [*keys, "__level"])
+    ranks = ranks.select(*keys, value, (F.col("__offset") + F.col("__before") + 1).alias(name))
     return _null_safe_join(df, ranks, [*keys, value])
 
 

@@ -32,9 +32,8 @@ def extreme_with_ties(df: DataFrame, keys: Sequence[str], value: str, largest: b
 
 
 def at_latest(df: DataFrame, ts: str) -> DataFrame:
-    """Rows at the table's latest time; the maximum is a single broadcast row."""
-    newest = df.agg(F.max(ts).alias("__newest"))
-    return df.join(F.broadcast(newest), F.col(ts) == F.col("__newest"), "left_semi")
+    """Rows at the table's latest time, a scalar subquery that the scan gets as a pushed filter."""
+    return df.where(F.col(ts) == df.agg(F.max(ts).alias("newest")).scalar())
 
 
 def top_dense(df: DataFrame, keys: Sequence[str], value: str, k: int, name: str = "rank") -> DataFrame:

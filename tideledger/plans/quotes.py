@@ -68,15 +68,18 @@ def routes_from_quotes(quotes: DataFrame, source: str) -> DataFrame:
     )
 
 
-def clean_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
-    """Distinct quotes of each source, ranked by what arrives per time and pathway."""
+def distinct_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
+    """Distinct quotes of each source, under one another."""
     kept = [df.drop("total_user_tx") for df in sources]
     if since:
         kept = [df.where(F.col("date") >= F.lit(since).cast("timestamp")) for df in kept]
-    group = ["date", *PATHWAY]
-    members = reduce(lambda a, b: a.unionByName(b), [df.select(*group) for df in kept])
-    rows = reduce(lambda a, b: a.unionByName(b), [df.distinct() for df in kept])
-    return ranked(rows, group, "final_out_amount", "max_value_rank_by_output", members=members)
+    return reduce(lambda a, b: a.unionByName(b), [df.distinct() for df in kept])
+
+
+def clean_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
+    """Distinct quotes of each source, ranked by what arrives per time and pathway."""
+    rows = distinct_quotes(*sources, since=since)
+    return ranked(rows, ["date", *PATHWAY], "final_out_amount", "max_value_rank_by_output")
 
 
 def rank_bridges(quotes: DataFrame, keep: int = 2) -> DataFrame:

@@ -525,11 +525,10 @@ def utilization_heatmap(levels: DataFrame, metric: str = "utilization_percentage
     return levels.groupBy("hour", "day", *GROUP).agg(F.avg(metric).alias(metric)).where(F.col(metric).isNotNull())
 
 
-def heatmap_matrix(levels: DataFrame, days: Sequence[str], metric: str = "utilization_percentage") -> DataFrame:
-    """One row per hour, chain and asset group with a column per given day."""
-    return (
-        levels.withColumn("d", F.date_format("day", "yyyy-MM-dd")).groupBy("hour", *GROUP).pivot("d", list(days)).agg(F.avg(metric))
-    )
+def heatmap_matrix(levels: DataFrame, metric: str = "utilization_percentage") -> DataFrame:
+    """The cells of the heat map, empty ones too: one row per hour of day, day, chain and asset group, for every day there is."""
+    cells = levels.groupBy("hour", F.date_format("day", "yyyy-MM-dd").alias("day"), *GROUP)
+    return cells.agg(F.avg(metric).alias(metric))
 
 
 def fast_slow_daily(levels: DataFrame, slow: DataFrame) -> DataFrame:

@@ -436,10 +436,10 @@ def wallet_retention(activity: DataFrame, wallet: str = "initiator", ts: str = "
     )
 
 
-def cohort_matrix(retention: DataFrame, weeks: int) -> DataFrame:
-    """One row per cohort, one column per week number 0 .. ``weeks`` - 1."""
-    wide = retention.groupBy("cohort_week").pivot("weeks_since_cohort", list(range(weeks))).agg(F.avg("retention_rate"))
-    return wide.withColumnsRenamed({str(w): f"week_{w}" for w in range(weeks)})
+def cohort_matrix(retention: DataFrame) -> DataFrame:
+    """The cells of the cohort matrix, one row per cohort and week number, for every week there is."""
+    cells = retention.groupBy("cohort_week", F.col("weeks_since_cohort").alias("week_number"))
+    return cells.agg(F.avg("retention_rate").alias("retention_rate"))
 
 
 # --- legacy metrics -----------------------------------------------------------------------

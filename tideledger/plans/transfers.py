@@ -374,14 +374,14 @@ def missing_deposits(
     transfers: DataFrame, deposits: DataFrame, origin_domain: str, destination_domain: str, asset: str,
 ) -> DataFrame:
     """Completed transfers of a route at or after the newest deposit on file that are not on file."""
-    newest = deposits.agg(F.max("timestamp").alias("__newest"))
+    newest = deposits.agg(F.ceil(F.unix_micros(F.max("timestamp")) / 1_000_000).alias("newest")).scalar()
     rows = transfers.where(
         F.col("status").isin(*COMPLETED)
         & (F.lower("destination_transacting_asset") == asset.lower())
         & (F.col("origin_domain") == origin_domain)
         & (F.col("destination_domain") == destination_domain)
     )
-    rows = rows.join(F.broadcast(newest), F.timestamp_seconds("xcall_timestamp") >= F.col("__newest"))
+    rows = rows.where(F.col("xcall_timestamp") >= newest)
     rows = rows.select(F.col("xcall_transaction_hash").alias("source_chain_hash"))
     return rows.join(deposits.select(F.col("hash").alias("source_chain_hash")), "source_chain_hash", "left_anti")
 

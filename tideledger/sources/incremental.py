@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import latest_per_key
@@ -15,32 +15,48 @@ DEFAULT_START = "2024-01-01 00:00:00"
 def increment(source: DataFrame, target: DataFrame | None, column: str, default=DEFAULT_START) -> DataFrame:
     """Source rows beyond the target's largest ``column``; beyond ``default`` without a target.
 
-    The bound is one row and joins as a broadcast, so nothing is fetched to the driver.
+    The bound is a scalar subquery: the scan gets it as a pushed filter and skips row groups below it.
     """
     dtype = source.schema[column].dataType
     if target is None:
         return source.where(F.col(column) > F.lit(default).cast(dtype))
-    mark = target.agg(F.coalesce(F.max(column), F.lit(default).cast(dtype)).alias("__mark"))
-    return source.join(F.broadcast(mark), F.col(column) > F.col("__mark")).drop("__mark")
+    return source.where(F.col(column) > _highest(target, column, F.lit(default).cast(dtype)))
+
+
+def _highest(table: DataFrame, column: str, otherwise: Column) -> Column:
+    """The largest value of ``column`` as a scalar subquery."""
+    return table.agg(F.coalesce(F.max(column), otherwise).alias("mark")).scalar()
 
 
 def increment_with_boundary(source: DataFrame, target: DataFrame, ts: str, key: str) -> DataFrame:
-    """Rows newer than the last time, plus rows of that time whose key is not stored yet."""
-    mark = target.agg(F.max(ts).alias("__mark"))
-    marked = source.join(F.broadcast(mark), F.col("__mark").isNull() | (F.col(ts) >= F.col("__mark")))
-    stored = target.join(F.broadcast(mark), F.col(ts) == F.col("__mark")).select(ts, key)
-    return marked.drop("__mark").join(stored, [ts, key], "left_anti")
+    """Rows newer than the last time, plus rows of that time whose key is not stored yet.
+
+    ``ts`` is a date or timestamp; rows without one are never loaded. Everything else is, for an empty target.
+    """
+    start = F.lit("0001-01-01").cast(source.schema[ts].dataType)
+    marked = source.where(F.col(ts) >= _highest(target, ts, start))
+    stored = target.where(F.col(ts) == _highest(target, ts, start)).select(ts, key)
+    return marked.join(stored, [ts, key], "left_anti")
 
 
 def complete_only(delta: DataFrame, key: str, ts: str) -> DataFrame:
     """Rows up to the smallest of the keys' latest times, so that no key runs ahead."""
     cut = delta.groupBy(key).agg(F.max(ts).alias("__last")).agg(F.min("__last").alias("__cut"))
-    return delta.join(F.broadcast(cut), F.col(ts) <= F.col("__cut")).drop("__cut")
+    return delta.where(F.col(ts) <= cut.scalar())
 
 
 def new_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delta rows, once each, whose key is not in the base."""
-    return delta.dropDuplicates(list(keys)).join(base.select(*keys), list(keys), "left_anti")
+    """Delta rows, once each, whose key is not in the base.
+
+    Of several delta rows with one key the one with the smallest other values, compared in column order, stays.
+    """
+    others = [c for c in delta.columns if c not in keys]
+    if others:
+        least = delta.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least"))
+        once = least.select(*[F.col("__least")[c].alias(c) if c in others else F.col(c) for c in delta.columns])
+    else:
+        once = delta.distinct()
+    return once.join(base.select(*keys), list(keys), "left_anti")
 
 
 def merge_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
