@@ -13,7 +13,7 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 # one or two per pipeline family; CHECK_ALL=1 runs every query
 CHOSEN = [
-    "A10_array_text", "D1_stage_across", "D6_stage_symbiosis", "D8_clean_debridge", "D13_bridge_volume_daily", "D17_clean_quotes", "D18_rank_bridges",
+    "A10_array_text", "D1_stage_across", "D6_stage_symbiosis", "D8_clean_debridge", "D13_bridge_volume_daily", "D17_clean_quotes", "D18_rank_bridges", "D19_best_route_vs_tracked",
     "D21_skipped_pathways", "D25_net_flow_3h", "D26_net_flow_stats_by_day", "D27_net_flow_grid", "D31_deposit_withdraw_by_chain_bridge", "D32_netting_by_window_3h",
     "D34_batch_transfers", "D35_transfers_usd_asof", "D37_transfers_slippage", "D39_fee_rebate", "D42_router_utilization_hourly", "D43_router_tvl_daily",
     "D48_pool_apr", "D51_router_utilization_summary", "D54_settlement_daily", "D56_settlement_rates_daily", "D58_cohort_ndr_gdr", "D60_metric_10_daily",

@@ -75,26 +75,9 @@ def references(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"@(\w+)", sql)))
 
 
-# tables that carry the rows, with the columns that spread them
-FACTS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "events": ("event_id",)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name not in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    df = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *FACTS[name]) if name in FACTS else df
-
-
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows over all cores if the files give fewer splits than that; large tables stay as they are.
-
-    A test file of one row group would keep all later work in one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *columns)
+    read = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,7 +102,7 @@ def duck(body: str) -> str:
 
     for r in references(body):
         visit(r)
-    ctes = [f"{n} AS ({VIEWS[n](DuckDialect)})" for n in order]
+    ctes = [f"{n} AS MATERIALIZED ({VIEWS[n](DuckDialect)})" for n in order]
     text = re.sub(r"@(\w+)", r"\1", ",\n".join(ctes) + "\x00" + body)
     heads, body = text.split("\x00")
     if not heads:
@@ -131,6 +114,14 @@ def duck(body: str) -> str:
     return f"WITH {heads}\n{body}"
 
 
+def discount_label(value: str) -> str:
+    """Class of a discount in basis points: steps of 0.8, the last one open and for unknown ones too."""
+    # fixed values: the classes' names
+    names = ["Negative", "0 - 0.79", "0.8 - 1.59", "1.6 - 2.39", "2.4 - 3.19", "3.2 - 3.99", "4.0 - 4.8", "4.8.0+"]
+    limits = "[0.0, 0.8, 1.6, 2.4, 3.2, 4.0, 4.8]"
+    return f"{names}[CASE WHEN {value} IS NULL THEN {len(names)} ELSE 1 + len(list_filter({limits}, lambda x: x <= {value})) END]"
+
+
 # --- dimensions -------------------------------------------------------------
 
 

@@ -84,7 +84,9 @@ def _(t):
 
 
 _NAMES = " ".join(f"WHEN {{c}} = '{k}' THEN '{v}'" for k, v in CHAIN_ID_NAMES.items())
-_LEVEL = "CASE WHEN abs(v - 1000) <= 100 THEN 1000 WHEN abs(v - 10000) <= 1000 THEN 10000 WHEN abs(v - 100000) <= 10000 THEN 100000 ELSE 1000 END"
+# the power of ten that the size is within a tenth of, from 1k to 100k; 1k for others
+_POWER = "10 ** round(log10(greatest(v, 1)))"
+_LEVEL = f"if({_POWER} BETWEEN 1000 AND 100000 AND abs(v / ({_POWER}) - 1) <= 0.1, {_POWER}, 1000)"
 RANK_SQL = f"""
     SELECT from_chain, to_chain, token, CAST(input_amount AS BIGINT) AS input_amount, bridge, price, best_bridge_rank FROM (
       SELECT *, dense_rank() OVER (PARTITION BY from_chain, to_chain, token, input_amount ORDER BY price DESC) AS best_bridge_rank FROM (
@@ -102,7 +104,7 @@ def _(t):
 
 @query(
     "D19_best_route_vs_tracked",
-    f"""WITH r AS (SELECT *, rank() OVER (PARTITION BY date, aggregator, from_chain, to_chain, from_token, to_token
+    f"""WITH r AS MATERIALIZED (SELECT *, rank() OVER (PARTITION BY date, aggregator, from_chain, to_chain, from_token, to_token
                        ORDER BY final_out_amount DESC NULLS LAST) AS max_value_rank_by_output
                    FROM (SELECT * FROM ({STEPS_SQL}) a UNION ALL SELECT * FROM ({QUOTES_SQL}) b) u)
     SELECT b.*, c.out_value_usd AS tracked_out_value_usd, c.gas_fee AS tracked_gas_fee, c.final_out_amount AS tracked_final_out_amount,
