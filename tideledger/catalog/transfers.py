@@ -259,6 +259,25 @@ def fx_deposits(d):
     WHERE l_linenumber < 6 AND o_orderdate < TIMESTAMP '2000-01-01 00:00:00'"""
 
 
+@fixture
+def fx_deposit_list(d):
+    # every transfer once, its chain spelled in one of several ways
+    return """
+    SELECT xcall_transaction_hash AS hash, xcall_caller AS user_address,
+           CASE origin_domain WHEN '6648936' THEN 'ethereum' WHEN '6450786' THEN CASE WHEN xcall_timestamp % 2 = 0 THEN 'bnb' ELSE 'BNB' END
+                WHEN '1835365481' THEN '1835365481' ELSE 'Arbitrum One' END AS origin_chain
+    FROM @fx_public_transfers WHERE origin_domain <> '6450786' OR xcall_timestamp % 3 > 0"""
+
+
+@fixture
+def fx_deposit_rest(d):
+    return """
+    SELECT xcall_transaction_hash AS hash, upper(xcall_caller) AS from_address FROM @fx_public_transfers
+    WHERE origin_domain = '6450786' AND xcall_timestamp % 3 = 0"""
+
+
+# domain, name in fee reports
+_FEE_CHAINS = "(VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in T.FEE_CHAINS.items()) + ") fee_chains(domain, label)"
 _GAS = "CASE origin_domain WHEN '1835365481' THEN 'METIS' WHEN '6450786' THEN 'BNB' ELSE 'WETH' END"
 _GROUP = "CASE WHEN {c} = 'ETH' THEN 'WETH' ELSE regexp_replace({c}, '^next', '') END"
 FEES_SQL = f"""
@@ -279,8 +298,9 @@ FEES_SQL = f"""
                  CAST(origin_transacting_amount AS DOUBLE) / pow(10, od) * CASE WHEN origin_domain IN ('6450786', '6648936') THEN 0.0008::DOUBLE ELSE 0.0013::DOUBLE END AS amm_amount,
                  CAST(origin_transacting_amount AS DOUBLE) / pow(10, od) * 0.0005::DOUBLE AS router_amount,
                  CAST(destination_transacting_amount AS DOUBLE) / pow(10, dd) AS destination_amount, make_timestamp(xcall_timestamp * 1000000) AS date,
-                 {_CHAIN.format(c='origin_domain')} AS origin_chain, {_CHAIN.format(c='destination_domain')} AS destination_chain
-          FROM f LEFT JOIN names n1 ON lower(k1) = n1.local LEFT JOIN names n2 ON lower(k2) = n2.local)
+                 coalesce(fo.label, origin_domain) AS origin_chain, coalesce(fd.label, destination_domain) AS destination_chain
+          FROM f LEFT JOIN {_FEE_CHAINS.replace("fee_chains(", "fo(")} ON fo.domain = origin_domain
+          LEFT JOIN {_FEE_CHAINS.replace("fee_chains(", "fd(")} ON fd.domain = destination_domain LEFT JOIN names n1 ON lower(k1) = n1.local LEFT JOIN names n2 ON lower(k2) = n2.local)
     SELECT transfer_id, xcall_transaction_hash, g.date, origin_chain, destination_chain, destination_asset, gas_asset, relay_1_asset, relay_2_asset, amm_asset,
            router_asset, gas_amount, relay_1_amount, relay_2_amount, amm_amount, router_amount, destination_amount,
            {', '.join(f'{k}_amount * p_{k}.price AS usd_{k}_amount' for k in (*T.FEES, 'destination'))}
@@ -303,14 +323,13 @@ REBATE_SQL = f"""
            CAST(date_trunc('week', date) AS DATE) AS week_start, CAST(CAST(date_trunc('week', date) AS DATE) + 6 AS DATE) AS week_end FROM (
       SELECT f.*, d.user_address, r.price, {' + '.join(f'coalesce(usd_{k}_amount, 0)' for k in T.FEES)} AS total_fee_usd
       FROM ({FEES_SQL}) f
-      LEFT JOIN (SELECT DISTINCT hash, lower(from_address) AS user_address, 'Metis' AS chain FROM @fx_deposits) d
-        ON f.xcall_transaction_hash = d.hash AND f.origin_chain = d.chain
+      JOIN (SELECT DISTINCT xcall_transaction_hash AS hash, lower(xcall_caller) AS user_address FROM @fx_public_transfers) d ON f.xcall_transaction_hash = d.hash
       LEFT JOIN (SELECT date_trunc('hour', date) AS h, avg(price) AS price FROM @fx_fee_prices WHERE symbol = 'S3' GROUP BY 1) r
         ON date_trunc('hour', f.date) = r.h) x"""
 
 
 def rebates(t):
-    users = T.deposit_users((t.fx_deposits, "hash", "from_address", "Metis"))
+    users = T.deposit_users((t.fx_deposit_list, "hash", "user_address", None), (t.fx_deposit_rest, "hash", "from_address", "bnb"))
     return T.fee_rebate(fees(t), users, t.fx_fee_prices.where("symbol = 'S3'"))
 
 

@@ -27,6 +27,33 @@ DOMAIN_CHAINS = {
     "31339": "Local Arbitrum One",
 }
 
+# fixed values: domain id -> chain name in fee reports
+FEE_CHAINS = {
+    "6648936": "Ethereum Mainnet",
+    "1869640809": "Optimistic Ethereum",
+    "6450786": "Binance Smart Chain Mainnet",
+    "6778479": "xDAI Chain",
+    "1886350457": "Matic Mainnet",
+    "1634886255": "Arbitrum One",
+    "1818848877": "Linea Mainnet",
+    "1835365481": "Metis Andromeda Mainnet",
+    "1650553709": "Base Mainnet",
+    "1836016741": "Mode Mainnet",
+}
+
+# fixed values: chain spelling in deposit lists -> domain id
+DEPOSIT_DOMAINS = {
+    "bnb": "6450786",
+    "base": "1650553709",
+    "linea": "1818848877",
+    "gnosis": "6778479",
+    "polygon": "1886350457",
+    "ethereum": "6648936",
+    "optimism": "1869640809",
+    "metis": "1835365481",
+    "mode": "1836016741",
+}
+
 # fixed values: domain id -> token gas is paid in (others: WETH)
 DOMAIN_GAS_TOKENS = {"1835365481": "METIS", "1886350457": "MATIC", "6450786": "BNB", "6778479": "DAI"}
 
@@ -265,13 +292,20 @@ FEES = ("gas", "relay_1", "relay_2", "amm", "router")
 
 
 def deposit_users(*lists: tuple[DataFrame, str, str, str | None]) -> DataFrame:
-    """Deposit lists (table, hash column, user column, chain or None) as hash, user, origin chain."""
+    """Deposit lists (table, hash column, user column, chain or None) as hash, user, origin chain.
+
+    A chain, given or in the list's ``origin_chain``, is a spelling or a domain id; it gets the name that fee reports use for
+    that domain. Others stay as they are.
+    """
     out = None
     for df, hash_column, user, chain in lists:
-        origin = F.lit(chain) if chain else F.col("origin_chain")
-        part = df.select(
-            F.col(hash_column).alias("hash"), F.lower(user).alias("user_address"), origin.alias("origin_chain")
-        ).distinct()
+        given = (df.withColumn("origin_chain", F.lit(chain)) if chain else df).withColumn(
+            "__domain", mapped(F.lower("origin_chain"), DEPOSIT_DOMAINS, F.col("origin_chain"))
+        )
+        part = given.select(
+            F.col(hash_column).alias("hash"), F.lower(user).alias("user_address"),
+            mapped("__domain", FEE_CHAINS, F.col("__domain")).alias("origin_chain"),
+        ).distinct()
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -321,7 +355,7 @@ def transfer_fees(transfers: DataFrame, assets: DataFrame, tokens: DataFrame, pr
     rows = rows.select(
         "transfer_id", "xcall_transaction_hash",
         F.timestamp_seconds("xcall_timestamp").alias("date"),
-        domain_chain("origin_domain").alias("origin_chain"), domain_chain("destination_domain").alias("destination_chain"),
+        *[mapped(f"{side}_domain", FEE_CHAINS, F.col(f"{side}_domain")).alias(f"{side}_chain") for side in ("origin", "destination")],
         "destination_asset",
         *[asset.alias(f"{k}_asset") for k, (asset, _) in amounts.items() if k != "destination"],
         *[amount.alias(f"{k}_amount") for k, (_, amount) in amounts.items()],
