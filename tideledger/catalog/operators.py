@@ -586,15 +586,8 @@ def _(t):
 
 @query("W7_forward_fill", "SELECT event_id, user_id, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts) AS filled FROM (SELECT *, CASE WHEN event_type = 'view' THEN value END AS v FROM events) x", "filled")
 def _(t):
-    v = F.when(F.col("event_type") == "view", F.col("value"))
-    w = Window.partitionBy("user_id", "day").orderBy("ts")
-    days = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    rows = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("day"), v.alias("v"))
-    # each day's last value is carried into the next days, so a window holds one day of a user
-    closing = rows.groupBy("user_id", "day").agg(F.max_by("v", F.when(F.col("v").isNotNull(), F.col("ts"))).alias("close"))
-    opening = closing.select("user_id", "day", F.last("close", ignorenulls=True).over(days).alias("open"))
-    filled = rows.withColumn("f", F.last("v", ignorenulls=True).over(w)).join(opening, ["user_id", "day"])
-    return filled.select("event_id", "user_id", F.coalesce("f", "open").alias("filled"))
+    rows = t.events.withColumn("v", F.when(F.col("event_type") == "view", F.col("value")))
+    return SR.forward_fill(rows, ["user_id"], "ts", "v").select("event_id", "user_id", "filled")
 
 
 @query("W9_moving_mean", "SELECT day, event_type, avg(v) OVER (PARTITION BY event_type ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS m FROM (SELECT date_trunc('day', ts) AS day, event_type, sum(value) AS v FROM events GROUP BY 1, 2) x", "m")

@@ -29,17 +29,15 @@ def _next_start(times: np.ndarray, size: int, span: int) -> np.ndarray:
 def summarise_stretch(times: np.ndarray, size: int, span: int) -> dict[str, np.ndarray]:
     """For each possible first start: start time and rows of the batch left open, and batches begun."""
     n = len(times)
-    nxt = _next_start(times, size, span).tolist()
-    last, begun = list(range(n)), [1] * n
-    for i in range(n - 1, -1, -1):
-        if nxt[i] < n:
-            last[i] = last[nxt[i]]
-            begun[i] += begun[nxt[i]]
+    # starts are followed in steps that double; the end is a start that leads to itself
+    nxt = np.append(_next_start(times, size, span), n)
+    last, begun = np.arange(n + 1), np.append(np.ones(n, np.int64), 0)
+    while (nxt < n).any():
+        last = np.where(nxt < n, last[nxt], last)
+        begun, nxt = begun + begun[nxt], nxt[nxt]
     first = min(size, n)
-    opened = np.array(last[:first])
-    return {
-        "head": times[:first], "open_start": times[opened], "open_rows": n - opened, "begun": np.array(begun[:first]),
-    }
+    opened = last[:first]
+    return {"head": times[:first], "open_start": times[opened], "open_rows": n - opened, "begun": begun[:first]}
 
 
 def first_start(head: np.ndarray, length: int, size: int, span: int, start: int | None, rows: int) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,30 @@ def regular_grid(df: DataFrame, keys: Sequence[str], ts: str, step: str, fill: S
     return dense.drop("__tick")
 
 
+def forward_fill(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str = "filled", units: Sequence[str] = ("day", "hour")) -> DataFrame:
+    """``value`` or, where it is null, the key's last value before in time.
+
+    ``units`` go from long to short. A window holds the rows of one shortest unit of a key, or one row per unit inside the
+    next longer one, which gets the unit's last value and carries it into the later ones. A key's rows never meet in one task.
+    """
+    levels = [f"__{u}" for u in units]
+    rows = df.withColumns({f"__{u}": F.date_trunc(u, F.col(ts)) for u in units})
+    filled = rows.withColumn(name, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys, *levels).orderBy(ts)))
+    known = F.when(F.col(value).isNotNull(), F.col(ts))
+    for depth in range(len(levels), 0, -1):
+        unit = levels[depth - 1]
+        earlier = Window.partitionBy(*keys, *levels[: depth - 1]).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
+        closing = rows.groupBy(*keys, *levels[:depth]).agg(F.max_by(value, known).alias("__close"))
+        names = [*keys, *levels[:depth]]
+        opening = closing.select(
+            *[F.col(c).alias(f"__r{i}") for i, c in enumerate(names)], F.last("__close", ignorenulls=True).over(earlier).alias("__open")
+        )
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(names)])
+        filled = filled.join(opening, same).withColumn(name, F.coalesce(name, "__open"))
+        filled = filled.drop("__open", *[f"__r{i}" for i in range(len(names))])
+    return filled.drop(*levels)
+
+
 def filled_minute_prices(ticks: DataFrame, keys: Sequence[str] = ("blockchain", "symbol"), ts: str = "minute", price: str = "price") -> DataFrame:
     """Average price per minute with the gaps forward-filled."""
     per_minute = mean_price(ticks, "minute", keys, ts, price, out="minute")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.windows import latest_per_key
 
@@ -31,32 +32,40 @@ def _highest(table: DataFrame, column: str, otherwise: Column) -> Column:
 def increment_with_boundary(source: DataFrame, target: DataFrame, ts: str, key: str) -> DataFrame:
     """Rows newer than the last time, plus rows of that time whose key is not stored yet.
 
-    ``ts`` is a date or timestamp; rows without one are never loaded. Everything else is, for an empty target.
+    Rows without a time are never loaded; all others are, for an empty target.
     """
-    start = F.lit("0001-01-01").cast(source.schema[ts].dataType)
+    start = _lowest(source.schema[ts].dataType)
     marked = source.where(F.col(ts) >= _highest(target, ts, start))
     stored = target.where(F.col(ts) == _highest(target, ts, start)).select(ts, key)
     return marked.join(stored, [ts, key], "left_anti")
 
 
+def _lowest(dtype: T.DataType) -> Column:
+    """A value that no other value of a time-like type is below."""
+    bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}.get(type(dtype))
+    if bits:
+        return F.lit(-(2**bits)).cast(dtype)
+    return F.lit("-Infinity" if isinstance(dtype, T.FractionalType) else "0001-01-01").cast(dtype)
+
+
 def complete_only(delta: DataFrame, key: str, ts: str) -> DataFrame:
     """Rows up to the smallest of the keys' latest times, so that no key runs ahead."""
     cut = delta.groupBy(key).agg(F.max(ts).alias("__last")).agg(F.min("__last").alias("__cut"))
     return delta.where(F.col(ts) <= cut.scalar())
 
 
-def new_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delta rows, once each, whose key is not in the base.
+def once_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the smallest other values, compared in column order."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    least = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least"))
+    return least.select(*[F.col("__least")[c].alias(c) if c in others else F.col(c) for c in df.columns])
 
-    Of several delta rows with one key the one with the smallest other values, compared in column order, stays.
-    """
-    others = [c for c in delta.columns if c not in keys]
-    if others:
-        least = delta.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__least"))
-        once = least.select(*[F.col("__least")[c].alias(c) if c in others else F.col(c) for c in delta.columns])
-    else:
-        once = delta.distinct()
-    return once.join(base.select(*keys), list(keys), "left_anti")
+
+def new_keys(delta: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Delta rows, once each (see ``once_per_key``), whose key is not in the base."""
+    return once_per_key(delta, keys).join(base.select(*keys), list(keys), "left_anti")
 
 
 def merge_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.incremental import new_keys
+from ..sources.incremental import new_keys, once_per_key
 
 
 def watch_files(spark: SparkSession, path: str, schema, fmt: str = "json", max_files: int | None = None, pattern: str | None = None) -> DataFrame:
@@ -46,7 +46,7 @@ def append_once(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[
             base = spark.read.option("basePath", target).parquet(*earlier)
             fresh = new_keys(batch, base, keys)
         else:
-            fresh = batch.dropDuplicates(list(keys))
+            fresh = once_per_key(batch, keys)
         fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
