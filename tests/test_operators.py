@@ -169,3 +169,15 @@ def test_expectations(spark):
     df = spark.createDataFrame([(1, 5.0), (1, -1.0), (None, 2.0)], "k int, v double")
     rules = [Q.Rule("not_null", ("k",)), Q.Rule("unique", ("k",)), Q.Rule("at_least", ("v",), 0), Q.Rule("exists", ("zz",)), Q.Rule("type", ("v",), "double")]
     assert {r.rule: r.violations for r in Q.expect(df, rules).collect()} == {"not_null(k)": 1, "unique(k)": 1, "at_least(v)": 1, "exists(zz)": 1, "type(v)": 0}
+
+
+def test_intermediate_tables_are_deleted(spark):
+    import os
+
+    from tideledger.session import cut_lineage, intermediate_tables
+
+    with intermediate_tables(spark) as folder:
+        assert cut_lineage(spark.range(5)).count() == 5
+        plain = folder.removeprefix("file://").removeprefix("file:")
+        assert os.path.isdir(plain)
+    assert not os.path.exists(plain)

@@ -40,6 +40,18 @@ class SparkDialect:
     def joined(text: str, order: str) -> str:
         return f"listagg({text}, ',') WITHIN GROUP (ORDER BY {order})"
 
+    @staticmethod
+    def moment(seconds: str) -> str:
+        return f"timestamp_seconds({seconds})"
+
+    @staticmethod
+    def array(*values: str) -> str:
+        return f"array({', '.join(values)})"
+
+    @staticmethod
+    def gathered(value: str, order: str) -> str:
+        return f"transform(sort_array(collect_list(struct({order} AS o, {value} AS v))), x -> x.v)"
+
     @staticmethod
     def each(*values: str) -> str:
         return "explode(array(" + ", ".join(f"'{v}'" for v in values) + "))"
@@ -58,6 +70,18 @@ class DuckDialect:
     def joined(text: str, order: str) -> str:
         return f"string_agg({text}, ',' ORDER BY {order})"
 
+    @staticmethod
+    def moment(seconds: str) -> str:
+        return f"make_timestamp({seconds} * 1000000)"
+
+    @staticmethod
+    def array(*values: str) -> str:
+        return f"[{', '.join(values)}]"
+
+    @staticmethod
+    def gathered(value: str, order: str) -> str:
+        return f"list({value} ORDER BY {order})"
+
     @staticmethod
     def each(*values: str) -> str:
         return "unnest([" + ", ".join(f"'{v}'" for v in values) + "])"

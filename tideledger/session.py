@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +34,13 @@ def build_session(app: str = "tideledger", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary one.
+    Only a session in one process, as in tests, gets a temporary one where none is named.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tideledger-checkpoint-"))
     return context.getCheckpointDir()
@@ -51,4 +55,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that is not in use."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_FOLDER.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables that are written inside go to one sub-folder of the shared folder, which is deleted at the end.
+
+    Results that read them have to be written or counted inside.
+    """
+    folder = new_path(spark, "tables")
+    before = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(before)
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
