@@ -60,6 +60,16 @@ def test_batches_go_on_over_triggers(spark):
     assert {r.id: r.batch_id for r in got.collect()} == {r.id: r.batch_id for r in want.collect()}
 
 
+def test_late_rows_have_no_batch(spark):
+    folder, out = new_path(spark, "in"), new_path(spark, "out")
+    for part in (rows(40, 13), rows(0, 3)):
+        land(spark, folder, part)
+        stream = SL.batch_stream(SF.watch_files(spark, folder, SCHEMA, "parquet"), ["source", "asset"], "date", "id", 4, 5)
+        got = run(spark, stream, out)
+    numbers = {r.id: r.batch_id for r in got.collect()}
+    assert {key for key, number in numbers.items() if number is None} == {0, 1, 2} and len(numbers) == 16
+
+
 def test_dedup_within_the_delay(spark):
     folder, out = new_path(spark, "in"), new_path(spark, "out")
     land(spark, folder, rows(0, 5) + rows(0, 5))

@@ -38,8 +38,9 @@ def windowed_net_flow(stream: DataFrame, source: str, target: str, amount: str,
 def batch_stream(stream: DataFrame, keys: Sequence[str], ts: str, tie_breaker: str, batch_size: int, window_hours: float) -> DataFrame:
     """Transfers with ``batch_id``, numbered in arrival order per key.
 
-    The state is the open batch: first time, rows and number. Rows are ordered by
-    time inside a trigger; a trigger must not hold rows older than an earlier one.
+    The state is the open batch (first time, rows and number) and the latest time seen.
+    Rows are ordered by time inside a trigger. A row older than the rows of earlier
+    triggers belongs to a batch that is closed: it passes with a null ``batch_id``.
     The batch number is kept for good, so that numbers stay unique.
     """
     span = int(window_hours * 3600 * 1_000_000)
@@ -47,17 +48,21 @@ def batch_stream(stream: DataFrame, keys: Sequence[str], ts: str, tie_breaker: s
     out = ", ".join(f"`{c}` {t}" for c, t in fields.items()) + ", batch_id bigint"
 
     def walk(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, rows, number = state.get if state.exists else (None, 0, 0)
+        start, rows, number, latest = state.get if state.exists else (None, 0, 0, None)
         pdf = pd.concat(list(parts)).sort_values([ts, tie_breaker], kind="stable")
         ids = []
-        for us in pdf[ts].astype("datetime64[us]").astype("int64"):
+        times = pdf[ts].astype("datetime64[us]").astype("int64")
+        for us in times:
+            if latest is not None and us < latest:
+                ids.append(None)
+                continue
             if start is None or rows >= batch_size or us - start > span:
                 start, rows, number = int(us), 0, number + 1
             rows += 1
             ids.append(number)
-        state.update((start, rows, number))
-        yield pdf.assign(batch_id=ids)
+        state.update((start, rows, number, max(int(times.max()), latest or int(times.max()))))
+        yield pdf.assign(batch_id=pd.array(ids, dtype="Int64"))
 
     return stream.groupBy(*keys).applyInPandasWithState(
-        walk, out, "start bigint, rows bigint, number bigint", "append", GroupStateTimeout.NoTimeout
+        walk, out, "start bigint, rows bigint, number bigint, latest bigint", "append", GroupStateTimeout.NoTimeout
     )
