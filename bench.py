@@ -8,6 +8,7 @@ import sys
 import time
 
 from tideledger.catalog import load_all
+from tideledger.catalog.fixtures import SCAN_PARTITIONS
 from tideledger.session import build_session
 
 HEADLINE = (
@@ -54,7 +55,11 @@ def main(names: tuple[str, ...]) -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+            # the test files have one row group each, which one task would read
+            SCAN_PARTITIONS: cpus,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries, _ = load_all()

@@ -99,9 +99,18 @@ def references(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"@(\w+)", sql)))
 
 
+# the tables with most rows
+FACTS = ("lineitem", "orders", "events")
+#: Session setting: partitions that fact tables are dealt into when read. Unset, as it should be where tables have many row
+#: groups, they are read as they are.
+SCAN_PARTITIONS = "spark.tideledger.scanPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     read = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
-    return read.parquet(f"{sf_dir}/{name}.parquet")
+    df = read.parquet(f"{sf_dir}/{name}.parquet")
+    parts = spark.conf.get(SCAN_PARTITIONS, "") if name in FACTS else ""
+    return df.repartition(int(parts)) if parts else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
