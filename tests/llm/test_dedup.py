@@ -75,7 +75,7 @@ def pasted(seed):
         return "".join(rng.choice("abcdef é") for _ in range(rng.randrange(60)))
 
     rows = [(key, "".join(part() for _ in range(rng.randrange(6)))) for key in range(120)]
-    return rows + [(900, None), (901, ""), (902, "a" * 400), (903, "a" * 70), (904, "xy" * 100), (905, "yx" * 60), (906, rows[3][1])]
+    return rows + [(900, None), (901, ""), (902, "a" * 400), (903, "a" * 70), (904, "xy" * 100), (905, "yx" * 60), (906, rows[3][1]), (907, "Is on. " * 90 + "b" + "Is on. " * 40)]
 
 
 @pytest.mark.parametrize("crowded", [50_000, 4])
@@ -108,8 +108,8 @@ def local_suffix_dedup(rows):
         (int(key.view(np.int64)), min(int(place), reach), bodies[row][max(0, place - reach) : place + length], rows[row][0], int(place) << 16)
         for row, place, key in zip(owner, places, keys, strict=True)
     )
-    columns = list(zip(*records, strict=True))
-    kinds = [("key", pa.int64()), ("before", pa.int32()), ("body", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64())]
+    columns = [*zip(*records, strict=True), [None] * len(records)]
+    kinds = [("key", pa.int64()), ("before", pa.int32()), ("body", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64()), ("more", pa.list_(pa.int64()))]
     batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
     parts = [batch.slice(low, 5) for low in range(0, len(batch), 5)]
     spans, strings = [], []

@@ -17,7 +17,11 @@ BLANKS = r"[\x20\x09-\x0D]+"
 # a tokenizer file is sent to every worker; larger ones are refused
 SPEC_BYTES = 64 << 20
 MAP_BITS = 1 << 23
-FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# while a table is written: its shuffle files go at the end, and Python workers get small batches
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,12 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(FREED, "false")
-    spark.conf.set(FREED, "true")
+    before = {key: spark.conf.get(key) for key in WRITING}
+    for key, value in WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(FREED, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
