@@ -58,6 +58,38 @@ def test_decontamination_with_edits(spark):
     assert len(planted & found) >= 0.97 * len(planted)
 
 
+def edited(rng, body, n, letters):
+    """``body`` after ``n`` edits at random places."""
+    own = list(body)
+    for _ in range(n):
+        place = rng.randrange(len(own))
+        own[place : place + 1] = rng.choice([[], [rng.choice(letters)], [own[place], rng.choice(letters)]])
+    return "".join(own)
+
+
+@pytest.mark.parametrize("size", [10, 24, 47, 100, 233, 390])
+def test_decontamination_recall(spark, size):
+    """At 10, 15 and 20 % edits by item length: the documents, items and edits of brute force, all of them."""
+    rng = random.Random(size)
+    letters = "etaoinsh rdlu"
+    items = [(key, "".join(rng.choice(letters) for _ in range(size)).replace(" ", "x", 1).strip()) for key in range(8)]
+    docs = []
+    for key, (_, body) in enumerate(items * 6):
+        around = "".join(rng.choice(letters) for _ in range(150))
+        docs.append((key, around + edited(rng, body, int((0.1, 0.15, 0.2)[key // 16] * len(body)), letters) + around[::-1]))
+    expected = {}
+    for key, text in docs:
+        for item, body in items:
+            own = decontaminate.normalised(body)
+            n = decontaminate.least_edits(own, decontaminate.normalised(text))
+            if n <= int(0.2 * len(own)):
+                expected[key, item] = n
+    assert len(expected) >= 40
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(table(spark, docs), benchmark).collect()
+    assert {(row.doc_id, row.item_id): row.edits for row in found} == expected
+
+
 def test_decontamination_of_odd_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = table(spark, [(1, None), (2, ""), (None, "This passage is in the benchmark, word for word."), (3, "clean"), (3, "clean")])
