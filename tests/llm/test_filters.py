@@ -90,6 +90,25 @@ def test_decontamination_recall(spark, size):
     assert {(row.doc_id, row.item_id): row.edits for row in found} == expected
 
 
+def test_decontamination_without_blanks(spark):
+    """Passages inside text without blanks are found, whole or with letters of several bytes added or lost."""
+    rng = random.Random(5)
+    letters = [chr(0x4E00 + place) for place in range(600)] + list("ぁあぃいぅうぇえกขฃคฅฆ\U00020000")
+    items = [(key, "".join(rng.choice(letters) for _ in range(10 + 15 * key))) for key in range(8)]
+    docs, expected = [], {}
+    for key, (item, body) in enumerate(items * 4):
+        own, limit = list(body), int(0.2 * len(body))
+        for _ in range((0, limit, limit, limit)[key // 8]):
+            place = rng.randrange(len(own))
+            own[place : place + 1] = ([], [own[place], "字"], ["a"])[key // 8 - 1]
+        text = "".join(rng.choice(letters) for _ in range(400)) + "".join(own) + "".join(rng.choice(letters) for _ in range(90))
+        docs.append((key, text))
+        expected[key, item] = brute.edits(body, text)
+        assert expected[key, item] <= limit
+    found = decontaminate.contaminated(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(row.doc_id, row.item_id): row.edits for row in found} == expected
+
+
 def test_decontamination_of_odd_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = table(spark, [(1, None), (2, ""), (None, "This passage is in the benchmark, word for word."), (3, "clean"), (3, "clean")])
