@@ -56,6 +56,24 @@ def test_drop_copies(spark):
     assert sorted((row.doc_id or 0, row.text or "") for row in left.collect()) == [(0, "w"), (1, "x y"), (3, "z"), (4, "")]
 
 
+def test_drop_copies_by_text(spark):
+    """Every text keeps its longest row, where ids are null or repeated as well."""
+    rows = [(None, "a b"), (None, "c"), (None, "ab"), (7, "d"), (7, "e"), (7, "e "), (7, "  e"), (7, "  e"), (8, "d"), (9, "c")]
+    for order in (rows, rows[::-1]):
+        left = exact_dedup.drop_copies(table(spark, order)).collect()
+        assert sorted((row.doc_id or 0, row.text) for row in left) == [(0, "a b"), (7, "  e"), (7, "d"), (9, "c")]
+
+
+def test_collisions_under_one_id(spark, monkeypatch):
+    """Different texts under one hash and one id, null too, are all kept."""
+    from pyspark.sql import functions as F
+
+    hashed = exact_dedup._hashed
+    monkeypatch.setattr(exact_dedup, "_hashed", lambda docs: hashed(docs).withColumn("hash", F.unhex(F.lit("00"))))
+    left = exact_dedup.drop_copies(table(spark, [(1, "a"), (1, "b"), (None, "c"), (None, "d"), (None, "c")])).collect()
+    assert sorted((row.doc_id or 0, row.text) for row in left) == [(0, "c"), (0, "d"), (1, "a"), (1, "b")]
+
+
 def test_empty_tables(spark):
     empty = table(spark, [])
     assert exact_dedup.exact_copies(empty).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideledger.llm.common import BLANKS, keep_rows, texts, written
+from tideledger.llm.common import BLANKS, texts, written
 
 # collided hashes are looked up by one of this many buckets, so what the driver sees of them is bounded
 BUCKETS = 1024
@@ -30,7 +30,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 def _placed(rows: DataFrame, classes: DataFrame, on: list[str]) -> DataFrame:
     found = classes.select(*on, "group_size", (-F.col("best.last")).alias("keep_id"))
-    return rows.join(found, on).select("doc_id", "keep_id", "group_size", "text_sha256", "copy")
+    return rows.join(found, on).select("doc_id", "points", "keep_id", "group_size", "text_sha256", "copy")
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:
@@ -45,6 +45,11 @@ def exact_copies(docs: DataFrame) -> DataFrame:
     written without the bytes, and joined to the rows by hash alone. Should two texts share a hash, the rows in the
     buckets of such hashes are joined by bytes as well.
     """
+    return _decided(docs).drop("points")
+
+
+def _decided(docs: DataFrame) -> DataFrame:
+    """``exact_copies`` with the code points of each row's text."""
     rows = _hashed(docs)
     classes = written(_classes(rows).select("hash", "group_size", "best"), "copies")
     bucket = F.pmod(F.xxhash64("hash"), F.lit(BUCKETS))
@@ -54,11 +59,13 @@ def exact_copies(docs: DataFrame) -> DataFrame:
     # repeats of a row are numbered, so that one of them stays
     again = W.partitionBy("doc_id", "hash").orderBy(F.desc("points"))
     numbered = rows.withColumn("copy", F.row_number().over(again))
+    told_apart = W.partitionBy("doc_id", "hash", "body").orderBy(F.desc("points"))
     plain = _placed(numbered.drop("body").filter(~collided), classes.filter(~collided), ["hash"])
-    other = numbered.filter(collided)
+    other = rows.filter(collided).withColumn("copy", F.row_number().over(told_apart))
     exact = _placed(other, _classes(rows.filter(collided)), ["hash", "body"])
     return plain.unionByName(exact).select(
         "doc_id",
+        "points",
         "keep_id",
         "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
@@ -67,5 +74,26 @@ def exact_copies(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each ``doc_id``, with all their columns."""
-    return keep_rows(docs, exact_copies(docs).filter("kept")).dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, one for each text, with all their columns.
+
+    A row is known by its ``doc_id`` (null is an id too), the SHA-256 of its text without blanks and its code points, so ids
+    may be null or repeat with other texts. Of rows that agree in all three one stays.
+    """
+    kept = _decided(docs).filter("kept").select(
+        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha256"), F.col("points").alias("__kept_points")
+    )
+    text = F.coalesce(docs["text"], F.lit(""))
+    named = docs.withColumns(
+        {
+            "__id": docs["doc_id"].cast("long"),
+            "__sha256": F.sha2(F.regexp_replace(text, BLANKS, ""), 256),
+            "__points": F.char_length(text),
+        }
+    )
+    same = (
+        named["__id"].eqNullSafe(kept["__kept_id"])
+        & (named["__sha256"] == kept["__kept_sha256"])
+        & (named["__points"] == kept["__kept_points"])
+    )
+    own = ["__id", "__sha256", "__points"]
+    return named.join(kept, same, "left_semi").dropDuplicates(own).drop(*own)
