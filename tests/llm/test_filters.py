@@ -260,6 +260,22 @@ def test_licenses(spark):
     assert licenses.license_scan(table(spark, [])).count() == 0
 
 
+def test_license_texts(spark):
+    """Whole texts and headers, bare or inside other text and with small changes, are reported under their own name."""
+    rows, expected = [], {}
+    for name, bodies in licenses.known_templates().items():
+        for body in bodies:
+            own = body.split()
+            changed = " ".join(word for place, word in enumerate(own) if len(own) < 60 or place % 40 != 7)
+            for text in (body, f"Some words before it.\n{changed}\nand words after it"):
+                expected[len(rows)] = name
+                rows.append((len(rows), text))
+    found = licenses.license_scan(table(spark, rows)).collect()
+    assert {row.doc_id: row.licenses for row in found} == expected
+    names = set(expected.values())
+    assert {"GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSL-1.0", "Unlicense", "CC-BY-SA-4.0"} <= names
+
+
 def test_alignment():
     """Pairs are equal words, rising on both sides, and no fewer than the unique words in one order."""
     rng = random.Random(9)

@@ -2,27 +2,64 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tideledger.llm.common import texts
 
-#: Short notices and opening terms of public licenses, by SPDX name. Callers may pass their own.
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public "
+    "License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later "
+    "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more "
+    "details. You should have received a copy of the GNU {0}General Public License along with this program."
+)
+_CC = "This work is licensed under a Creative Commons {} International License."
+#: Short notices and standard headers of public licenses, by SPDX name; whole texts are in ``license_texts``.
+#: Callers may pass their own.
 TEMPLATES = {
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0."],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", _GNU.format("", "3")],
+    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", _GNU.format("", "2")],
+    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", _GNU.format("Affero ", "3")],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", _GNU.format("Lesser ", "3")],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", _GNU.format("Lesser ", "2.1")],
+    "LGPL-2.0": ["This work is licensed under the GNU Library General Public License, version 2.", _GNU.format("Library ", "2")],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", _CC.format("Attribution-NonCommercial 4.0")],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0.", _CC.format("Attribution 4.0")],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", _CC.format("Attribution-ShareAlike 4.0")],
+    "CC-BY-SA-3.0": ["Licensed under CC BY-SA 3.0.", _CC.format("Attribution-ShareAlike 3.0")],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", _CC.format("Attribution-NoDerivatives 4.0")],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", _CC.format("Attribution-NonCommercial-ShareAlike 4.0")],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", _CC.format("Attribution-NonCommercial-NoDerivatives 4.0")],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         'documentation files (the "Software"), to deal in the Software without restriction',
     ],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        'applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "http://www.boost.org/LICENSE_1_0.txt)"
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met"
@@ -31,11 +68,21 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
     ],
 }
+#: whole texts, a file for each SPDX name; only the driver reads them
+TEXTS = Path(__file__).with_name("license_texts")
 #: share of a template's words that must be aligned
 COVERAGE = 0.8
 _WORD = re.compile(r"\w+")
 
 
+def known_templates() -> dict[str, list[str]]:
+    """Notices, headers and whole texts of the known licenses by SPDX name."""
+    found = {name: list(own) for name, own in TEMPLATES.items()}
+    for path in sorted(TEXTS.glob("*.txt")):
+        found.setdefault(path.stem, []).append(path.read_text(encoding="utf-8"))
+    return found
+
+
 def words(text: str) -> list[tuple[str, int, int]]:
     """Words in lower case with their place in code points."""
     return [(found.group().lower(), found.start(), found.end()) for found in _WORD.finditer(text)]
@@ -104,44 +151,66 @@ def windows(text: list[str], template: list[str]) -> Iterator[tuple[int, int]]:
             low = index
 
 
-def found_spans(text: list[str], template: list[str]) -> Iterator[tuple[int, int, float]]:
-    """First word, last word and coverage of every place where ``text`` holds ``template``.
+def found_spans(text: list[str], template: list[str]) -> Iterator[tuple[int, int, int]]:
+    """First word, last word and number of aligned words of every place where ``text`` holds ``template``.
 
     A run with several copies has no unique words, so a run is first cut before every later occurrence of the template's
     rarest word in it, half-way to the one before.
     """
     for low, high in windows(text, template):
         own = text[low:high]
-        counts = Counter(word for word in own if word in template)
-        rarest = min(template, key=lambda word: (counts[word] or len(own), template.count(word)))
+        counts, there = Counter(own), Counter(template)
+        rarest = min(template, key=lambda word: (counts[word] or len(own), there[word]))
         marks = [low + place for place, word in enumerate(own) if word == rarest]
         lead = template.index(rarest)
         cuts = [low, *(max(low, mark - lead - max(1, len(template) // 8)) for mark in marks[1:]), high]
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
             pairs = align(text[begin:end], template)
             if pairs and len(pairs) >= COVERAGE * len(template):
-                yield begin + pairs[0][0], begin + pairs[-1][0], len(pairs) / len(template)
+                yield begin + pairs[0][0], begin + pairs[-1][0], len(pairs)
+
+
+class Template:
+    """A template's words, and some of them without which a text can't hold it."""
 
+    def __init__(self, name: str, body: list[str]):
+        self.name, self.body, self.own = name, body, set(body)
+        needed = math.ceil(COVERAGE * len(self.own) - 1e-9)
+        # a text that has enough of the words has one of any so many; long words are in few texts
+        self.probe = set(sorted(self.own, key=lambda word: (-len(word), word))[: len(self.own) - needed + 1])
 
-def scan(text: str, templates: dict[str, list[list[str]]]) -> list[tuple[int, int, str, float]]:
-    """Start, end (code points, exclusive), name and coverage of license notices; of overlapping ones the better covered."""
+    def fits(self, there: set[str]) -> bool:
+        return not self.probe.isdisjoint(there) and len(self.own & there) >= COVERAGE * len(self.own)
+
+
+def prepared(templates: dict[str, list[str]]) -> list[Template]:
+    """Templates as words; those without any, and repeats of a name's, aren't any."""
+    return [Template(name, list(body)) for name, own in templates.items() for body in {tuple(w for w, _, _ in words(x)) for x in own} if body]
+
+
+def scan(text: str, templates: list[Template]) -> list[tuple[int, int, str, float]]:
+    """Start, end (code points, exclusive), name and coverage of license notices.
+
+    Of overlapping ones the one with the most aligned words stays, less the words of either side that aren't aligned.
+    """
     own = words(text)
     plain = [word for word, _, _ in own]
     there = set(plain)
     found = []
-    for name, bodies in templates.items():
-        for body in bodies:
-            if body and sum(word in there for word in set(body)) >= COVERAGE * len(set(body)):
-                for first, last, share in found_spans(plain, body):
-                    found.append((own[first][1], own[last][2], name, share, len(body)))
+    for template in templates:
+        if template.fits(there):
+            size = len(template.body)
+            for first, last, aligned in found_spans(plain, template.body):
+                worth = aligned - (size - aligned) - (last + 1 - first - aligned)
+                found.append((worth, size, own[first][1], own[last][2], template.name, aligned / size))
     kept: list[tuple[int, int, str, float]] = []
-    for start, end, name, share, _ in sorted(found, key=lambda x: (-x[3], -x[4], x[0], x[2])):
+    for _, _, start, end, name, share in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[4])):
         if all(end <= other[0] or other[1] <= start for other in kept):
             kept.append((start, end, name, share))
     return sorted(kept)
 
 
-def _scan(templates: dict[str, list[list[str]]]):
+def _scan(templates: list[Template]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [scan(text.as_py(), templates) for text in batch.column("text")]
@@ -167,6 +236,6 @@ def license_scan(docs: DataFrame, templates: dict[str, list[str]] | None = None)
     ``COVERAGE`` on. Null and empty texts hold none; whole texts are read; repeated rows and null ids stay; no rows give none.
     One narrow pass; the templates travel with the task.
     """
-    bodies = {name: [[word for word, _, _ in words(text)] for text in own] for name, own in (templates or TEMPLATES).items()}
+    bodies = prepared(templates or known_templates())
     schema = "doc_id long, n_found long, licenses string, coverage double, spans string"
     return texts(docs).mapInArrow(_scan(bodies), schema)
