@@ -206,6 +206,26 @@ def test_near_copies_of_one_text(spark, monkeypatch):
     assert {row.doc_id: (row.n_shingles, row.component_id) for row in found} == brute.near_copies(rows, 3, 9, 10)
 
 
+def test_near_copies_of_odd_ids(spark):
+    """Texts under null ids and under ids that other texts have too are linked as any others."""
+    rng = random.Random(7)
+    rows, expected = [], []
+    for number in range(12):
+        base = [f"w{number}x{place}" for place in range(60)]
+
+        def variant(base=base):
+            return " ".join([*base[:-1], f"v{rng.randrange(10**9)}"])
+
+        one, two, three, other = variant(), variant(), variant(), f"other text number {number}"
+        low, high = 1000 + number, 2000 + number
+        # a null id beside a real one; null ids alone; an id of two texts, of which another row stands for one
+        rows += ([(None, one), (high, two)], [(None, one), (None, two)], [(low, other), (high, other), (high, one), (high + 1000, two), (None, three)])[number % 3]
+        expected += ([(0, high), (high, high)], [(0, 0), (0, 0)], [(low, low), (high, low), (high, high), (high + 1000, high), (0, high)])[number % 3]
+    for order in (rows, rows[::-1]):
+        found = ngram_join.near_copies(table(spark, order), ngram_join.Similarity(3, 9, 10)).collect()
+        assert sorted((row.doc_id or 0, row.component_id or 0) for row in found) == sorted(expected)
+
+
 @pytest.mark.parametrize("rows", [1, 10**6, 10**14])
 @pytest.mark.parametrize("numbers", [(3, 9, 10), (5, 4, 5), (3, 1, 2)])
 def test_signatures_meet(rows, numbers):

@@ -157,14 +157,16 @@ def set_number(own: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def _describe(width: int):
+def _describe(width: int, with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for part, sets in batches_of_sets(batches, width):
                 numbers = [set_number(own) for own in sets]
                 columns = [[len(own) for own in sets], [n for n, _ in numbers], [n for _, n in numbers]]
                 arrays = [part.column("doc_id"), *(pa.array(column, pa.int64()) for column in columns)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "one", "two"])
+                more = ["text"] if with_text else []
+                arrays.extend(part.column(name) for name in more)
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "one", "two", *more])
 
     return run
 
@@ -288,22 +290,64 @@ def near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     rows = texts(docs)
     sized = rows.mapInArrow(_describe(similarity.width), "doc_id long, n_shingles long, one long, two long")
     sized = written(sized, "sizes")
-    classes = sized.filter("n_shingles > 0").groupBy("n_shingles", "one", "two").agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "classes")
-    links = _found_links(rows, sized, classes, similarity)
+    classes = sized.filter("n_shingles > 0").groupBy("n_shingles", "one", "two").agg(F.min("doc_id").alias("least"))
+    classes, repeated = _represented(written(classes, "classes"), sized)
+    links = _found_links(rows, sized, classes, repeated, similarity)
     named = components(links) if links is not None else None
     if named is not None:
         named = named.withColumnRenamed("node", "rep")
         classes = classes.join(named, "rep", "left")
     else:
         classes = classes.withColumn("component", F.lit(None).cast("long"))
-    classes = classes.select("n_shingles", "one", "two", F.coalesce("component", "rep").alias("component"))
+    classes = classes.select("n_shingles", "one", "two", "least", F.coalesce("component", "rep").alias("component"))
+    if repeated is not None:
+        smallest = classes.groupBy("component").agg(F.min("least").alias("smallest"))
+        classes = classes.join(smallest, "component").withColumn("component", F.col("smallest"))
+    classes = classes.select("n_shingles", "one", "two", "component")
     placed = sized.filter("n_shingles > 0").join(classes, ["n_shingles", "one", "two"])
     placed = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     return placed.unionAll(sized.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _found_links(rows: DataFrame, sized: DataFrame, classes: DataFrame, similarity: Similarity) -> DataFrame | None:
+def _represented(classes: DataFrame, sized: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Classes with the key ``rep`` that stands for them in links, and the ids of rows with different sets.
+
+    The smallest id stands for a class. Where that is null or an id of other sets too, a hash of the set's name does
+    (``odd``); where no class is so, there is no table of ids.
+    """
+    ends = [end(name).alias(f"{end.__name__}_{name}") for name in ("one", "two") for end in (F.min, F.max)]
+    repeated = sized.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*ends)
+    repeated = written(repeated.filter("min_one != max_one OR min_two != max_two").select("doc_id"), "repeated")
+    plain = classes.withColumn("rep", F.col("least")).withColumn("odd", F.lit(False))
+    nameless = classes.filter("least IS NULL")
+    if not repeated.limit(1).count() and not nameless.limit(1).count():
+        return plain, None
+    own = F.xxhash64("n_shingles", "one", "two")
+    same = plain["least"] == repeated["doc_id"]
+    parts = [
+        plain.filter("least IS NOT NULL").join(repeated, same, "left_anti"),
+        plain.join(repeated, same, "left_semi").withColumns({"rep": own, "odd": F.lit(True)}),
+        nameless.withColumns({"rep": own, "odd": F.lit(True)}),
+    ]
+    return written(parts[0].unionByName(parts[1]).unionByName(parts[2]), "classes"), repeated
+
+
+def _bodies(rows: DataFrame, found: DataFrame, repeated: DataFrame | None, width: int) -> DataFrame:
+    """``one``, ``rep`` as ``doc_id`` and a text of each class: by its smallest id, or by the set's name if that is odd."""
+    plain = found.filter("NOT odd")
+    bodies = IdMap(plain.select(F.col("rep").alias("doc_id"))).rows(rows, True)
+    bodies = bodies.join(plain, bodies["doc_id"] == plain["rep"]).select("one", "doc_id", "text")
+    if repeated is not None:
+        unsure = rows.filter("doc_id IS NULL").unionAll(rows.join(repeated, "doc_id", "left_semi"))
+        named = unsure.mapInArrow(_describe(width, True), "doc_id long, n_shingles long, one long, two long, text string")
+        named = named.drop("doc_id").join(found.filter("odd"), ["n_shingles", "one", "two"])
+        bodies = bodies.unionAll(named.select("one", F.col("rep").alias("doc_id"), "text"))
+    return bodies.dropDuplicates(["one", "doc_id"])
+
+
+def _found_links(
+    rows: DataFrame, sized: DataFrame, classes: DataFrame, repeated: DataFrame | None, similarity: Similarity
+) -> DataFrame | None:
     """Links between representatives, enough to connect every component; None where no two sets share a signature."""
     index = rows.mapInArrow(_index(similarity, sized.count()), "signature long, one long")
     order = W.partitionBy("signature").orderBy("one")
@@ -314,12 +358,11 @@ def _found_links(rows: DataFrame, sized: DataFrame, classes: DataFrame, similari
     members = written(index.filter("name != low AND name != last").select("signature", "low", "name"), "members")
     pairs = members.select("low", "name").distinct()
     wanted = members.select(F.col("name").alias("one")).unionAll(members.select(F.col("low").alias("one"))).distinct()
-    found = classes.join(wanted, "one", "left_semi").select("one", "rep")
+    found = classes.join(wanted, "one", "left_semi").select("n_shingles", "one", "two", "rep", "odd")
     found = written(found, "candidates")
     if not found.limit(1).count():
         return None
-    bodies = IdMap(found.select(F.col("rep").alias("doc_id"))).rows(rows, True)
-    bodies = bodies.join(found, bodies["doc_id"] == found["rep"]).select("one", "doc_id", "text").dropDuplicates(["one", "doc_id"])
+    bodies = _bodies(rows, found, repeated, similarity.width)
     bodies = written(bodies, "bodies")
     first = written(_joined_pairs(pairs, bodies).mapInArrow(_verify(similarity), "a long, b long"), "links")
     return first.unionAll(written(_compared(members, found, bodies, components(first, 2), similarity), "links"))
