@@ -120,6 +120,15 @@ def test_decontamination_of_odd_tables(spark):
     assert decontaminate.contaminated(table(spark, []), items).count() == 0
 
 
+def test_decontamination_by_short_items(spark):
+    """Items of any length are searched, shortest ones as they are, and a null item id isn't 0."""
+    items = [(0, "this one is in the text"), (None, "another one that is there"), (1, "北京"), (2, "Qz7"), (3, "walrus"), (4, " "), (5, "京北")]
+    docs = [(1, "so THIS one is in the text"), (2, "and another one that is there."), (3, "我住在北京的北边"), (4, "aQz7b"), (5, "a walris"), (6, "Qz 7 walls")]
+    found = decontaminate.contaminated(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = {(1, 0, 0), (2, None, 0), (3, 1, 0), (4, 2, 0), (5, 3, 1)}
+    assert {(row.doc_id, row.item_id, row.edits) for row in found} == expected
+
+
 def test_benchmark_blocks(spark, monkeypatch):
     items = fetched(f"SELECT item_id, text FROM '{DATA}/benchmark.parquet'")
     docs = [(key, f"before {body} after") for key, body in items]

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tideledger.llm.common import keep_rows, texts
 
-#: items of fewer bytes are no evidence and are left out
-SMALLEST = 8
 #: edits allowed, as a share of the item's characters
 EDITS = 0.2
 #: bytes of benchmark text that are sent to the tasks at a time
@@ -121,8 +119,8 @@ class Index:
     has at most 5 letters, as a fifth of the letters may be edited.
     """
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(key, body) for key, text in items if len((body := normalised(text)).encode()) >= SMALLEST]
+    def __init__(self, items: list[tuple[int | None, str]]):
+        self.items = [(key, body) for key, text in items if (body := normalised(text))]
         bodies = [body for _, body in self.items]
         self.grams = [[body[k : k + GRAM] for k in range(len(body) - GRAM + 1)] for body in bodies]
         flat, begins = laid_out(bodies)
@@ -298,8 +296,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document holds an item if some part of its text is within ``EDITS`` of the item's length in edits, both in lower case
     and with single blanks. Candidates are equal seeds, at every letter, whose neighbours are near enough for an item within
-    its edits (see ``Index``), so none is missed; the whole item is then compared. Null and empty texts hold nothing; items under ``SMALLEST`` bytes are left out; rows that
-    repeat an id count as one document; null ids stay; empty tables give no rows.
+    its edits (see ``Index``), so none is missed; the whole item is then compared. Null and empty texts hold nothing; items of less than five
+    letters may have no edits; rows that repeat an id count as one document, and so do items; null ids of either stay, as one
+    id; empty tables give no rows.
 
     The benchmark goes to the tasks in blocks of about ``BLOCK_BYTES``, one narrow pass over the documents for each block.
     """
@@ -311,7 +310,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for number in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == number).distinct()
-        index = spark.sparkContext.broadcast(Index(sorted((row.item_id or 0, row.text) for row in own.collect())))
+        index = spark.sparkContext.broadcast(Index([(row.item_id, row.text) for row in own.collect()]))
         part = rows.mapInArrow(_search(index), "doc_id long, item_id long, edits long, n_chars long")
         found = part if found is None else found.unionAll(part)
     return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"), F.min("n_chars").alias("n_chars"))
