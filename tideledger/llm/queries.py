@@ -7,11 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tideledger.llm import decontaminate, exact_dedup, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_counts, token_output
+from tideledger.llm import (
+    bpe_codec,
+    decontaminate,
+    exact_dedup,
+    licenses,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    token_counts,
+    token_output,
+)
 from tideledger.llm.common import documents
 from tideledger.session import new_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +68,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trips(documents(spark, sf_dir), WORD_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_personal_data,
         op9_token_output,
         op10_license_scan,
+        op11_bpe_codec,
     )
 }
 
