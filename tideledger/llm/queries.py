@@ -11,6 +11,7 @@ from tideledger.llm import (
     bpe_codec,
     decontaminate,
     exact_dedup,
+    lexical_search,
     licenses,
     ngram_join,
     packing,
@@ -72,6 +73,10 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trips(documents(spark, sf_dir), WORD_BPE)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_output,
         op10_license_scan,
         op11_bpe_codec,
+        op12_lexical_search,
     )
 }
 
@@ -99,4 +105,33 @@ ORACLES: dict[str, str] = {
                doc_id = first_value(doc_id) OVER w AS kept, sha256(body) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY body ORDER BY points DESC, doc_id)
     """,
+    "op12_lexical_search": """
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents),
+        asked AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+                  FROM benchmark)
+            GROUP BY ALL),
+        sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+        held AS (SELECT doc_id, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM held, whole GROUP BY term),
+        impacts AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS impact
+            FROM held JOIN sizes USING (doc_id) JOIN weights USING (term), whole),
+        scores AS (
+            SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score
+            FROM impacts JOIN asked USING (term) GROUP BY item_id, doc_id)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }
