@@ -16,6 +16,7 @@ from tideledger.llm import (
     ngram_join,
     packing,
     pii,
+    prefix_trie,
     quality,
     suffix_dedup,
     token_counts,
@@ -77,6 +78,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_scan,
         op11_bpe_codec,
         op12_lexical_search,
+        op13_prefix_trie,
     )
 }
 
@@ -134,4 +140,49 @@ ORACLES: dict[str, str] = {
         FROM scores WHERE score > 0
         QUALIFY rank <= 10
     """,
+    "op13_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+                   coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS shown FROM turns),
+        heads AS (
+            -- CRC-32 bit by bit
+            SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+                list_concat([4294967295::BIGINT], range(8 * length(shown))),
+                lambda crc, i: xor(
+                    (CASE WHEN i % 8 = 0 THEN xor(crc, ascii(shown[i // 8 + 1])::BIGINT) ELSE crc END) >> 1,
+                    CASE WHEN ((CASE WHEN i % 8 = 0 THEN xor(crc, ascii(shown[i // 8 + 1])::BIGINT) ELSE crc END) & 1) = 1
+                         THEN 3988292384::BIGINT ELSE 0 END)), 4294967295::BIGINT) % 4 AS h
+            FROM ids),
+        headed AS (
+            SELECT h.conv_id, place AS depth, role, text FROM heads h JOIN turns t ON t.conv_id = base AND place <= h),
+        lengths AS (SELECT h.conv_id, h, count(depth) AS k FROM heads h LEFT JOIN headed USING (conv_id) GROUP BY ALL),
+        rebuilt AS (
+            FROM headed UNION ALL
+            SELECT conv_id, k + place - h, role, text FROM lengths JOIN turns USING (conv_id) WHERE place > h),
+        members AS (
+            SELECT conv_id, depth, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_words,
+                   string_agg(md5(length(role) || ':' || role || text), '' ORDER BY depth)
+                       OVER (PARTITION BY conv_id ORDER BY depth) AS path
+            FROM rebuilt UNION ALL SELECT conv_id, 0, 0, '' FROM heads),
+        nodes AS (
+            SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_words) AS n_words,
+                   left(path, 32 * (depth - 1)::INT) AS above
+            FROM members GROUP BY depth, path),
+        children AS (SELECT above AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        described AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path, depth)),
+        below AS (
+            SELECT m.depth, m.path, sum((n.n_convs - 1) * n.n_words)::BIGINT AS saved_tokens,
+                   count(*) FILTER (n.n_children = 0) AS n_leaves
+            FROM described n JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY ALL),
+        finals AS (
+            SELECT conv_id, depth, path FROM members QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)),
+        ends AS (
+            SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM finals GROUP BY depth, path)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens,
+               sha256(coalesce(ids, '')) AS ends_sha256
+        FROM described n JOIN below b USING (depth, path) LEFT JOIN ends USING (depth, path)
+        LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.above
+    """,
 }
