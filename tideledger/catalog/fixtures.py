@@ -99,28 +99,24 @@ def references(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"@(\w+)", sql)))
 
 
-# the tables with most rows
-FACTS = ("lineitem", "orders", "events")
-#: Session setting: partitions that fact tables are dealt into when read. Unset, as it should be where tables have many row
-#: groups, they are read as they are.
-SCAN_PARTITIONS = "spark.tideledger.scanPartitions"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     read = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
-    df = read.parquet(f"{sf_dir}/{name}.parquet")
-    parts = spark.conf.get(SCAN_PARTITIONS, "") if name in FACTS else ""
-    return df.repartition(int(parts)) if parts else df
+    return read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table or a view over them, as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A driver table or a view over them, as a DataFrame; ``known`` ones are taken as they are, and new ones added."""
+    known = {} if known is None else known
+    if name in known:
+        return known[name]
     if name not in VIEWS:
-        return table(spark, sf_dir, name)
+        known[name] = table(spark, sf_dir, name)
+        return known[name]
     sql = VIEWS[name](SparkDialect)
-    parts = {r: view(spark, sf_dir, r) for r in references(sql)}
+    parts = {r: view(spark, sf_dir, r, known) for r in references(sql)}
     escaped = sql.replace("{", "{{").replace("}", "}}")
-    return spark.sql(re.sub(r"@(\w+)", r"{\1}", escaped), **parts)
+    known[name] = spark.sql(re.sub(r"@(\w+)", r"{\1}", escaped), **parts)
+    return known[name]
 
 
 def duck(body: str) -> str:

@@ -19,10 +19,10 @@ class Tables:
     """Attribute access to the driver tables and the views over them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self.known = spark, sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return fixtures.view(self.spark, self.sf_dir, name)
+        return fixtures.view(self.spark, self.sf_dir, name, self.known)
 
 
 def rounded(df: DataFrame, places: int) -> DataFrame:

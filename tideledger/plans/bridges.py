@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -400,212 +401,223 @@ def priced(df: DataFrame, aliases: DataFrame, prices: DataFrame, roles: Mapping[
     return price_roles(df, prices, by_name).drop(*symbols.values())
 
 
-def canonical(df: DataFrame, **columns: Column | str | None) -> DataFrame:
-    """The canonical row; a column not given is a typed null of its name if absent."""
+def canonical_cells(df: DataFrame, **columns: Column | str | None) -> list[Column]:
     out = []
     for c in CANONICAL_COLUMNS:
         value = columns.get(c, c if c in df.columns else None)
         value = F.lit(None) if value is None else A.col(value)
         out.append(value.cast(CANONICAL_TYPES[c]).alias(c))
-    return df.select(*out)
+    return out
+
+
+def canonical(df: DataFrame, **columns: Column | str | None) -> DataFrame:
+    """The canonical row; a column not given is a typed null of its name if absent."""
+    return df.select(*canonical_cells(df, **columns))
+
+
+@dataclass(frozen=True)
+class Legs:
+    """How one bridge's staged rows are valued.
+
+    ``columns``: canonical column -> staged column, or null; others keep their name. ``legs``: role -> (token, time, amount), each
+    worth its amount at the token's price of the hour. ``reported`` USD columns come before legs. ``spread``: the relay fee is what is
+    sent less what arrives, in USD. ``parts``: gas and relay fee have a second leg (``gas_2``, ``relay_2``), and missing ones are 0.
+    """
+
+    columns: Mapping[str, Column | str | None]
+    legs: Mapping[str, tuple[str, str, str]]
+    kept: Column
+    reported: Mapping[str, str] = field(default_factory=dict)
+    spread: bool = False
+    parts: bool = False
+    zeros: tuple[str, ...] = ()
+
+
+USD = ("from_amount_usd", "to_amount_usd", "relay_amount_usd", "gas_amount_usd")
+ROLES = ("from", "interim", "to", "relay", "relay_2", "gas", "gas_2")
+
+
+def usd_kept(at_least: float = 0.1, relay: bool = True) -> Column:
+    kept = (F.col("from_amount_usd") > at_least) & (F.col("to_amount_usd") > at_least)
+    return kept & (F.col("relay_amount_usd") > 0) if relay else kept
 
 
 def usd_filter(df: DataFrame, at_least: float = 0.1, relay: bool = True) -> DataFrame:
-    kept = df.where((F.col("from_amount_usd") > at_least) & (F.col("to_amount_usd") > at_least))
-    return kept.where(F.col("relay_amount_usd") > 0) if relay else kept
+    return df.where(usd_kept(at_least, relay))
+
+
+def bridge_legs(max_loss: float = 0.8) -> dict[str, Legs]:
+    """The legs of every bridge; symbiosis routes that lose ``max_loss`` or more go."""
+    hashes = {"from_tx_hash": "from_hash", "to_tx_hash": "to_hash"}
+    addresses = {"from_user_address": "from_address", "to_user_address": "to_address"}
+    times = {"from_date": "from_timestamp", "to_date": "to_timestamp"}
+    sent, gone = ("from_token_symbol", "date"), {"from_date": "date", "to_date": None}
+    got = ("to_token_symbol", "date")
+    return {
+        "across": Legs(
+            {**hashes, "from_date": None, "to_date": "date", "from_user_address": "from_user", "to_user_address": "to_user",
+             "relay_symbol": "relayer_fee_token_symbol", "relay_amount": "relay_fee_amount", "gas_symbol": "gas_token_symbol"},
+            {"from": (*sent, "from_amount"), "to": (*got, "to_amount"), "relay": (*sent, "relay_fee_amount"),
+             "gas": ("gas_token_symbol", "date", "gas_amount")},
+            usd_kept(),
+        ),
+        "allbridge": Legs(
+            {**hashes, **addresses, **gone, "bridge": F.lit("all_bridges"), "gas_amount": None,
+             "gas_symbol": F.coalesce("from_gas_native_token", "to_gas_native_token"),
+             "relay_symbol": F.coalesce("from_relayer_fee_native_symbol", "relayer_fee_token_symbol"),
+             "relay_amount": F.coalesce("from_relayer_fee_in_native", F.lit(0.0)) + F.coalesce("relayer_fee_in_tokens", F.lit(0.0))},
+            {"from": (*sent, "from_amount"), "to": (*got, "to_amount"),
+             "gas": ("from_gas_native_token", "date", "from_gas_amount"), "gas_2": ("to_gas_native_token", "date", "to_gas_amount"),
+             "relay": ("from_gas_native_token", "date", "from_relayer_fee_in_native"),
+             "relay_2": ("relayer_fee_token_symbol", "date", "relayer_fee_in_tokens")},
+            usd_kept(),
+            parts=True,
+        ),
+        "debridge": Legs(
+            {**addresses, **gone, "bridge": F.lit("debridge"), "gas_symbol": "gas_token_symbol",
+             "relay_symbol": "relayer_fee_token_symbol", "relay_amount": "relay_fee_amount"},
+            {"from": (*sent, "from_amount"), "interim": ("interim_symbol", "date", "interim_amount"), "to": (*got, "to_amount"),
+             "gas": ("gas_token_symbol", "date", "gas_amount"), "relay": ("interim_symbol", "date", "relay_fee_amount")},
+            usd_kept(),
+        ),
+        "hop": Legs(
+            {**hashes, **addresses, **times, "bridge": F.lit("hop"), "relay_symbol": "relayer_fee_symbol", "relay_amount": "relayer_fee",
+             "gas_symbol": None, "gas_amount": None},
+            {},
+            usd_kept(at_least=0),
+            {"from_amount_usd": "from_amount_usd", "to_amount_usd": "to_amount_usd", "relay_amount_usd": "relayer_fee_in_usd"},
+        ),
+        "stargate": Legs(
+            {**hashes, **addresses, "relay_amount": F.col("from_amount") - F.col("to_amount"), "gas_symbol": "gas_token_symbol"},
+            {"from": ("from_token_symbol", "from_date", "from_amount"), "to": ("from_token_symbol", "from_date", "to_amount")},
+            usd_kept(relay=False),
+            spread=True,
+        ),
+        "symbiosis": Legs(
+            {**hashes, **addresses, **times, "bridge": F.lit("symbiosis"), "gas_symbol": "gas_token_symbol"},
+            {"from": ("from_token_symbol", "from_timestamp", "from_amount"), "to": ("to_token_symbol", "to_timestamp", "to_amount")},
+            A.ratio("relay_amount_usd", "from_amount_usd") < max_loss,
+            {"from_amount_usd": "from_amount_usd", "to_amount_usd": "to_amount_usd"},
+            spread=True,
+            zeros=("from_amount", "to_amount"),
+        ),
+        "synapse": Legs(
+            {**hashes, **addresses, **times, "bridge": F.lit("synapse"), "gas_symbol": "fee_token_symbol",
+             "relay_symbol": "relayer_fee_symbol"},
+            {"from": ("from_token_symbol", "from_timestamp", "cal_from_amount"), "to": ("to_token_symbol", "to_timestamp", "cal_to_amount")},
+            usd_kept(),
+            spread=True,
+        ),
+    }
 
 
-def clean_across(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    roles = {"from": ("from_token_symbol", "date"), "to": ("to_token_symbol", "date"), "gas": ("gas_token_symbol", "date")}
-    p = priced(staged, aliases, prices, roles)
-    return usd_filter(
-        canonical(
-            p,
-            from_date=None,
-            to_date="date",
-            from_tx_hash="from_hash",
-            to_tx_hash="to_hash",
-            from_user_address="from_user",
-            to_user_address="to_user",
-            from_amount_usd=p.from_amount * p.from_price,
-            to_amount_usd=p.to_amount * p.to_price,
-            relay_symbol="relayer_fee_token_symbol",
-            relay_amount="relay_fee_amount",
-            relay_amount_usd=p.relay_fee_amount * p.from_price,
-            gas_symbol="gas_token_symbol",
-            gas_amount_usd=p.gas_amount * p.gas_price,
-        )
-    )
+def token_prices(aliases: DataFrame, prices: DataFrame) -> DataFrame:
+    """Hourly prices by the token's own symbol: ``token``, ``hour``, ``price``."""
+    known = aliases.groupBy("token_symbol").agg(F.min("price_symbol").alias("symbol"))
+    return prices.join(known, "symbol").select(F.col("token_symbol").alias("token"), F.col("date").alias("hour"), "price")
 
 
-def clean_allbridge(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    """Gas and relay fee are sums of a native and a token part, missing parts as 0."""
-    roles = {
-        role: (symbol, "date")
-        for role, symbol in {
-            "from": "from_token_symbol",
-            "to": "to_token_symbol",
-            "native": "from_gas_native_token",
-            "to_gas": "to_gas_native_token",
-            "fee": "relayer_fee_token_symbol",
-        }.items()
+def _unpriced(label: str, staged: DataFrame, own: Legs) -> DataFrame:
+    """Canonical rows without USD values, and their legs."""
+    rows = staged.fillna(0.0, subset=list(own.zeros)) if own.zeros else staged
+    leg = "struct<role:string,token:string,hour:timestamp,amount:double>"
+    legs = [F.struct(F.lit(role), F.col(token), F.date_trunc("hour", time), F.col(amount)).cast(leg) for role, (token, time, amount) in own.legs.items()]
+    extra = {
+        "label": F.lit(label),
+        "interim_symbol": F.col("interim_symbol") if "interim" in own.legs else A.typed_null("string"),
+        "interim_amount": F.col("interim_amount") if "interim" in own.legs else A.typed_null("double"),
+        "legs": F.array(*legs) if legs else F.array(F.lit(None).cast(leg)),
     }
-    p = priced(staged, aliases, prices, roles)
-
-    def total(*parts: Column) -> Column:
-        return reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0.0)) for x in parts])
-
-    return usd_filter(
-        canonical(
-            p,
-            bridge=F.lit("all_bridges"),
-            from_date="date",
-            to_date=None,
-            from_tx_hash="from_hash",
-            to_tx_hash="to_hash",
-            from_user_address="from_address",
-            to_user_address="to_address",
-            from_amount_usd=p.from_amount * p.from_price,
-            to_amount_usd=p.to_amount * p.to_price,
-            gas_symbol=F.coalesce("from_gas_native_token", "to_gas_native_token"),
-            gas_amount=None,
-            gas_amount_usd=total(p.from_gas_amount * p.native_price, p.to_gas_amount * p.to_gas_price),
-            relay_symbol=F.coalesce("from_relayer_fee_native_symbol", "relayer_fee_token_symbol"),
-            relay_amount=total(p.from_relayer_fee_in_native, p.relayer_fee_in_tokens),
-            relay_amount_usd=total(
-                p.from_relayer_fee_in_native * p.native_price, p.relayer_fee_in_tokens * p.fee_price
-            ),
-        )
+    given = {**dict.fromkeys(USD), **own.columns, **own.reported}
+    return rows.select(*canonical_cells(rows, **given), *[v.alias(c) for c, v in extra.items()])
+
+
+def clean_all(staged: Mapping[str, DataFrame], aliases: DataFrame, prices: DataFrame, max_loss: float = 0.8) -> DataFrame:
+    """Canonical rows of several bridges (``label``, then the canonical columns), priced by one equi join.
+
+    A row becomes one leg for each amount to be valued, and the first leg carries the row. The legs of all bridges meet the prices
+    by (token, hour) and fold back by a hash of the row. So a row is shuffled twice at most, however many prices it needs; rows
+    that are equal in all columns are valued once and counted.
+    """
+    own = {label: bridge_legs(max_loss)[label] for label in staged}
+    rows = reduce(lambda a, b: a.unionByName(b), [_unpriced(label, df, own[label]) for label, df in staged.items()])
+    carried = [c for c in rows.columns if c != "legs"]
+    keyed = rows.select(
+        F.xxhash64("legs", *carried).alias("k1"), F.xxhash64(F.lit(1), *carried, "legs").alias("k2"), F.struct(*carried).alias("row"), "legs"
+    )
+    legs = keyed.select("k1", "k2", "row", F.posexplode("legs").alias("place", "leg"))
+    legs = legs.where("place = 0 OR leg.token IS NOT NULL AND leg.amount IS NOT NULL")
+    legs = legs.select("k1", "k2", F.when(F.col("place") == 0, F.col("row")).alias("row"), "leg.*")
+    valued = legs.join(token_prices(aliases, prices), ["token", "hour"], "left")
+    worth = [F.max(F.when(F.col("role") == role, F.col("amount") * F.col("price"))).alias(f"v_{role}") for role in ROLES]
+    folded = valued.groupBy("k1", "k2").agg(F.first("row", ignorenulls=True).alias("row"), F.count("row").alias("copies"), *worth)
+    folded = folded.select("row.*", *[f"v_{role}" for role in ROLES], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+
+    def listed(flag: str) -> Column:
+        return F.col("label").isin([label for label in own if getattr(own[label], flag)])
+
+    def fee(name: str) -> Column:
+        both = F.coalesce(f"v_{name}", F.lit(0.0)) + F.coalesce(f"v_{name}_2", F.lit(0.0))
+        return F.when(listed("parts"), both).otherwise(F.col(f"v_{name}"))
+
+    sent = F.coalesce(F.nullif("from_amount_usd", F.lit(0.0)), "v_from", "v_interim")
+    got = F.coalesce(F.nullif("to_amount_usd", F.lit(0.0)), "v_to")
+    replaced = F.col("interim_symbol").isNotNull() & F.col("v_from").isNull()
+    priced = folded.withColumns(
+        {
+            "from_amount_usd": sent,
+            "to_amount_usd": got,
+            "relay_amount_usd": F.when(listed("spread"), sent - got).otherwise(F.coalesce("relay_amount_usd", fee("relay"))),
+            "gas_amount_usd": fee("gas"),
+            "from_token_symbol": F.when(replaced, F.col("interim_symbol")).otherwise(F.col("from_token_symbol")),
+            "from_amount": F.when(replaced, F.col("interim_amount")).otherwise(F.col("from_amount")),
+        }
     )
+    kept = F.coalesce(*[F.when(F.col("label") == label, of.kept) for label, of in own.items()])
+    return priced.where(kept).select("label", *CANONICAL_COLUMNS)
+
+
+def clean_bridge(label: str, staged: DataFrame, aliases: DataFrame, prices: DataFrame, max_loss: float = 0.8) -> DataFrame:
+    """Canonical rows of one bridge."""
+    return clean_all({label: staged}, aliases, prices, max_loss).drop("label")
+
+
+def clean_across(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
+    return clean_bridge("across", staged, aliases, prices)
+
+
+def clean_allbridge(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
+    return clean_bridge("allbridge", staged, aliases, prices)
 
 
 def clean_debridge(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    """Where the sent token has no price the interim leg stands in."""
-    roles = {
-        "from": ("from_token_symbol", "date"),
-        "interim": ("interim_symbol", "date"),
-        "to": ("to_token_symbol", "date"),
-        "gas": ("gas_token_symbol", "date"),
-    }
-    p = priced(staged, aliases, prices, roles)
-    known = p.from_price.isNotNull()
-    return usd_filter(
-        canonical(
-            p,
-            bridge=F.lit("debridge"),
-            from_date="date",
-            to_date=None,
-            from_user_address="from_address",
-            to_user_address="to_address",
-            from_token_symbol=F.when(known, p.from_token_symbol).otherwise(p.interim_symbol),
-            from_amount=F.when(known, p.from_amount).otherwise(p.interim_amount),
-            from_amount_usd=F.when(known, p.from_amount * p.from_price).otherwise(p.interim_amount * p.interim_price),
-            to_amount_usd=p.to_amount * p.to_price,
-            gas_symbol="gas_token_symbol",
-            gas_amount_usd=p.gas_amount * p.gas_price,
-            relay_symbol="relayer_fee_token_symbol",
-            relay_amount="relay_fee_amount",
-            relay_amount_usd=p.relay_fee_amount * p.interim_price,
-        )
-    )
+    return clean_bridge("debridge", staged, aliases, prices)
 
 
 def clean_hop(staged: DataFrame) -> DataFrame:
-    """Comes priced."""
-    return usd_filter(
-        canonical(
-            staged,
-            bridge=F.lit("hop"),
-            from_date="from_timestamp",
-            to_date="to_timestamp",
-            from_tx_hash="from_hash",
-            to_tx_hash="to_hash",
-            from_user_address="from_address",
-            to_user_address="to_address",
-            relay_symbol="relayer_fee_symbol",
-            relay_amount="relayer_fee",
-            relay_amount_usd="relayer_fee_in_usd",
-            gas_symbol=None,
-            gas_amount=None,
-        ),
-        at_least=0,
-    )
+    """Comes priced, so there is nothing to join."""
+    own = bridge_legs()["hop"]
+    return canonical(staged, **{**dict.fromkeys(USD), **own.columns, **own.reported}).where(own.kept)
 
 
 def clean_stargate(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    p = priced(staged, aliases, prices, {"from": ("from_token_symbol", "from_date")})
-    sent, got = p.from_amount * p.from_price, p.to_amount * p.from_price
-    return usd_filter(
-        canonical(
-            p,
-            from_tx_hash="from_hash",
-            to_tx_hash="to_hash",
-            from_user_address="from_address",
-            to_user_address="to_address",
-            from_amount_usd=sent,
-            to_amount_usd=got,
-            relay_amount=p.from_amount - p.to_amount,
-            relay_amount_usd=sent - got,
-            gas_symbol="gas_token_symbol",
-            gas_amount_usd=None,
-        ),
-        relay=False,
-    )
+    return clean_bridge("stargate", staged, aliases, prices)
 
 
 def clean_symbiosis(staged: DataFrame, aliases: DataFrame, prices: DataFrame, max_loss: float = 0.8) -> DataFrame:
-    """Reported USD values first, own pricing where they are missing or zero.
-
-    The relay fee is the USD difference; routes that lose ``max_loss`` or more go.
-    """
-    filled = staged.fillna(0.0, subset=["from_amount", "to_amount"])
-    roles = {"from": ("from_token_symbol", "from_timestamp"), "to": ("to_token_symbol", "to_timestamp")}
-    p = priced(filled, aliases, prices, roles)
-    sent = F.coalesce(F.nullif(p.from_amount_usd, F.lit(0.0)), p.from_amount * p.from_price)
-    got = F.coalesce(F.nullif(p.to_amount_usd, F.lit(0.0)), p.to_amount * p.to_price)
-    rows = canonical(
-        p,
-        bridge=F.lit("symbiosis"),
-        from_date="from_timestamp",
-        to_date="to_timestamp",
-        from_tx_hash="from_hash",
-        to_tx_hash="to_hash",
-        from_user_address="from_address",
-        to_user_address="to_address",
-        from_amount_usd=sent,
-        to_amount_usd=got,
-        relay_amount_usd=sent - got,
-        gas_symbol="gas_token_symbol",
-    )
-    return rows.where(A.ratio("relay_amount_usd", "from_amount_usd") < max_loss)
+    return clean_bridge("symbiosis", staged, aliases, prices, max_loss)
 
 
 def clean_synapse(staged: DataFrame, aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    roles = {"from": ("from_token_symbol", "from_timestamp"), "to": ("to_token_symbol", "to_timestamp")}
-    p = priced(staged, aliases, prices, roles)
-    sent, got = p.cal_from_amount * p.from_price, p.cal_to_amount * p.to_price
-    return usd_filter(
-        canonical(
-            p,
-            bridge=F.lit("synapse"),
-            from_date="from_timestamp",
-            to_date="to_timestamp",
-            from_tx_hash="from_hash",
-            to_tx_hash="to_hash",
-            from_user_address="from_address",
-            to_user_address="to_address",
-            from_amount_usd=sent,
-            to_amount_usd=got,
-            gas_symbol="fee_token_symbol",
-            relay_symbol="relayer_fee_symbol",
-            relay_amount_usd=sent - got,
-        )
-    )
+    return clean_bridge("synapse", staged, aliases, prices)
 
 
 # --- mart -----------------------------------------------------------------------
 
 
+BUSINESS = ("bridge", "id", "from_date", "from_tx_hash", "to_date", "to_tx_hash", "from_amount", "to_amount")
+
+
 def all_transfers(cleaned: Mapping[str, DataFrame], exact_numbers: bool = False) -> DataFrame:
     """Union of cleaned bridges (label -> rows) with ids ``<label>_<...>``.
 
@@ -620,11 +632,16 @@ def all_transfers(cleaned: Mapping[str, DataFrame], exact_numbers: bool = False)
             ident = F.concat(F.lit(label + "_"), F.col("__n").cast("string"))
             parts.append(keyed.withColumn("id", ident).select(*CANONICAL_COLUMNS))
         else:
-            business = ("bridge", "id", "from_date", "from_tx_hash", "to_date", "to_tx_hash", "from_amount", "to_amount")
-            parts.append(df.withColumn("id", row_id(*business, prefix=label)).select(*CANONICAL_COLUMNS))
+            parts.append(df.withColumn("id", row_id(*BUSINESS, prefix=label)).select(*CANONICAL_COLUMNS))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def transfers_mart(staged: Mapping[str, DataFrame], aliases: DataFrame, prices: DataFrame) -> DataFrame:
+    """``all_transfers`` of staged bridges (label -> rows), priced together; the ids are the same."""
+    ident = F.concat(F.col("label"), F.lit("_"), row_id(*BUSINESS))
+    return clean_all(staged, aliases, prices).withColumn("id", ident).select(*CANONICAL_COLUMNS)
+
+
 # modelling name -> canonical column
 MODELLING_NAMES = {
     "bridge": "bridge",
