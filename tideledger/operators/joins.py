@@ -70,6 +70,27 @@ def price_roles(
     return df
 
 
+def price_book_roles(
+    df: DataFrame,
+    prices: DataFrame,
+    ts: Column | str,
+    roles: Mapping[str, Column | str],
+    unit: str = "hour",
+    symbol: str = "symbol",
+    at: str = "date",
+    price: str = "price",
+) -> DataFrame:
+    """Add prices of several symbols at one time by one equi join: new name -> symbol.
+
+    The right side has one row for each ``unit``, its book (symbol -> price), so that ``df`` is shuffled once at most, whatever the
+    number of roles. Meant for some dozens of symbols, as price groups are; of several prices of one symbol the smallest is taken.
+    """
+    once = prices.where(F.col(symbol).isNotNull()).groupBy(F.col(at).alias("__at"), F.col(symbol).alias("__s")).agg(F.min(price).alias("__p"))
+    books = once.groupBy("__at").agg(F.map_from_entries(F.collect_list(F.struct("__s", "__p"))).alias("__book"))
+    df = df.withColumn("__at", F.date_trunc(unit, col(ts))).join(books, "__at", "left")
+    return df.withColumns({name: F.try_element_at("__book", col(s)) for name, s in roles.items()}).drop("__at", "__book")
+
+
 def either_key_lookup(
     df: DataFrame, dim: DataFrame, fact_key: str, dim_keys: Sequence[str], same: Mapping[str, str], take: Mapping[str, str]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions.addresses import is_zero
 from ..functions.amounts import lossy_double, ratio, scaled
 from ..functions.buckets import usd_range, week_parts
 from ..functions.labels import asset_group, mapped, price_group
-from ..operators.joins import either_key_lookup, lookup, price_at_or_before, price_roles
+from ..operators.joins import either_key_lookup, lookup, price_at_or_before, price_book_roles, price_roles
 
 # fixed values: domain id -> chain name
 DOMAIN_CHAINS = {
@@ -259,11 +259,15 @@ def category_counts(transfers: DataFrame, column: str = "xcall_caller", name: st
 
 
 def transfer_counts(transfers: DataFrame) -> DataFrame:
-    return transfers.groupBy(_day(), "origin_chain", "destination_chain", "origin_asset", "destination_asset").agg(
-        F.count_distinct("transfer_id").alias("transfers"),
-        F.count_distinct("xcall_caller").alias("callers"),
-        F.sum("usd_bridged_amount").alias("usd_bridged_amount"),
-    )
+    """Transfers, users and volume by day and route; a transfer has one user.
+
+    Counts add up in three steps (transfer, user, route), each with partial sums, so no row is expanded for a second distinct count.
+    """
+    route = ["xcall_date", "origin_chain", "destination_chain", "origin_asset", "destination_asset"]
+    usd = F.sum("usd_bridged_amount").alias("usd_bridged_amount")
+    once = transfers.groupBy(_day(), *route[1:], "xcall_caller", "transfer_id").agg(usd)
+    users = once.groupBy(*route, "xcall_caller").agg(F.count("transfer_id").alias("transfers"), usd)
+    return users.groupBy(*route).agg(F.sum("transfers").alias("transfers"), F.count("xcall_caller").alias("callers"), usd)
 
 
 def bridge_volume_daily(transfers: DataFrame) -> DataFrame:
@@ -360,10 +364,9 @@ def transfer_fees(transfers: DataFrame, assets: DataFrame, tokens: DataFrame, pr
         *[asset.alias(f"{k}_asset") for k, (asset, _) in amounts.items() if k != "destination"],
         *[amount.alias(f"{k}_amount") for k, (_, amount) in amounts.items()],
     )
-    rows = rows.withColumns({f"__group_{k}": price_group(f"{k}_asset") for k in amounts})
-    rows = price_roles(rows, prices, {f"__price_{k}": (f"__group_{k}", "date") for k in amounts})
+    rows = price_book_roles(rows, prices, "date", {f"__price_{k}": price_group(f"{k}_asset") for k in amounts})
     rows = rows.withColumns({f"usd_{k}_amount": F.col(f"{k}_amount") * F.col(f"__price_{k}") for k in amounts})
-    return rows.drop(*[f"__price_{k}" for k in amounts], *[f"__group_{k}" for k in amounts])
+    return rows.drop(*[f"__price_{k}" for k in amounts])
 
 
 def fee_rebate(fees: DataFrame, deposits: DataFrame, reward_prices: DataFrame) -> DataFrame:
