@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tideledger.session import new_path
@@ -72,7 +73,28 @@ def test_duplicate_load_is_rewritten_once(spark):
     K.append(df, path)
     K.append(df, path)
     clean = K.rewrite_distinct(spark, path)
-    assert clean != path and spark.read.parquet(clean).count() == 2 and spark.read.parquet(path).count() == 4
+    assert clean.read().count() == 2 and spark.read.parquet(path).count() == 4
+    assert [version for version, _ in clean.versions()] == [1]
+
+
+def test_readers_see_whole_tables(spark):
+    """Before, during and after a rewrite, and after one that fails."""
+    path = new_path(spark, "swapped")
+    K.append(spark.range(10).selectExpr("id % 5 AS k"), path)
+    table = K.VersionedTable(spark, path)
+    before = table.read()
+    broken = table.read().selectExpr("if(k = 3, raise_error('broken'), k) AS k")
+    with pytest.raises(Exception, match="broken"):
+        table.replace(broken)
+    assert table.current() == (0, path) and table.read().count() == 10
+    K.rewrite_distinct(spark, path)
+    assert before.count() == 10 and table.read().count() == 5
+    held = table.read()
+    assert table.replace(table.read().where("k > 0")) == 2
+    assert held.count() == 5 and table.read().count() == 4
+    with pytest.raises(RuntimeError):
+        table.replace(held, expected=1)
+    assert table.read().count() == 4 and [version for version, _ in table.versions()] == [1, 2]
 
 
 def test_increment_starts_at_the_default_for_an_empty_target(spark):

@@ -1,5 +1,9 @@
+import time
 from datetime import datetime, timedelta
 
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tideledger.operators.batching import batch_transfers
@@ -75,3 +79,61 @@ def test_dedup_within_the_delay(spark):
     land(spark, folder, rows(0, 5) + rows(0, 5))
     got = run(spark, SF.deduplicated(SF.watch_files(spark, folder, SCHEMA, "parquet"), ["id"], "date", "1 day"), out)
     assert got.select(F.count("*")).first()[0] == 5
+
+
+def test_idle_keys_expire(spark):
+    """After the idle time a key's state is gone: a new batch begins, and no number comes twice."""
+    folder, out = new_path(spark, "in"), new_path(spark, "out")
+    land(spark, folder, rows(0, 3))
+    stream = SL.batch_stream(SF.watch_files(spark, folder, SCHEMA, "parquet"), ["asset"], "date", "id", 100, 500, 0.0005)
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-state")
+    query = writer.trigger(processingTime="1 second").start()
+
+    def numbers(n):
+        for _ in range(60):
+            assert query.exception() is None
+            found = {r.id: r.batch_id for r in spark.read.schema("id bigint, batch_id bigint").parquet(out).collect()} if query.lastProgress else {}
+            if len(found) == n:
+                return found
+            time.sleep(1)
+        raise TimeoutError
+
+    try:
+        first = numbers(3)
+        time.sleep(4)
+        land(spark, folder, rows(3, 3))
+        both = numbers(6)
+    finally:
+        query.stop()
+    assert len(set(first.values())) == 1 == len({both[i] for i in (3, 4, 5)})
+    assert both[0] < both[3]
+
+
+@given(st.lists(st.integers(0, 60), min_size=0, max_size=40), st.integers(1, 6), st.integers(1, 20), st.integers(0, 40))
+@settings(max_examples=200, deadline=None)
+def test_numbers_after_an_open_batch(gaps, size, span, cut):
+    """Walking in two parts gives what a row-by-row walk gives."""
+    times = np.cumsum(gaps) if gaps else np.zeros(0, np.int64)
+    start, held, number, plain = None, 0, 0, []
+    for t in times.tolist():
+        if start is None or held >= size or t - start > span:
+            start, held, number = t, 0, number + 1
+        held += 1
+        plain.append(number)
+    first, state = SL.numbered(times[:cut], size, span, None, 0, 0)
+    second, state = SL.numbered(times[cut:], size, span, *state)
+    assert [*first.tolist(), *second.tolist()] == plain
+    if len(times):
+        assert state == (start, held, number)
+
+
+def test_append_once_counts_keys_of_a_base_and_of_earlier_triggers(spark):
+    folder, out = new_path(spark, "in"), new_path(spark, "out")
+    base = spark.createDataFrame([(2,), (3,)], "id bigint")
+    for part in (rows(0, 4) + rows(1, 3) * 50, rows(2, 5) + [(None, T0, "c", "c", "A", 0.0)] * 3):
+        land(spark, folder, part)
+        query = SF.append_once(SF.watch_files(spark, folder, SCHEMA, "parquet"), out, out + "-state", ["id"], base)
+        query.awaitTermination()
+        assert query.exception() is None
+    ids = [r.id for r in spark.read.parquet(out).collect()]
+    assert sorted(ids, key=lambda i: (i is None, i)) == [0, 1, 4, 5, 6, None]

@@ -374,7 +374,7 @@ def _(t):
 def _(t):
     path = new_path(t.spark, "raw")
     K.replace(t.lineitem.select("l_suppkey", "l_returnflag", "l_linenumber", "l_tax"), path)
-    return t.spark.read.parquet(K.rewrite_distinct(t.spark, path, ["l_suppkey", "l_returnflag", "l_linenumber"]))
+    return K.rewrite_distinct(t.spark, path, ["l_suppkey", "l_returnflag", "l_linenumber"]).read()
 
 
 @query("S19_load_stamp", "SELECT c_custkey, TIMESTAMP '2024-02-13 10:00:00' AS uploaded_at FROM customer")

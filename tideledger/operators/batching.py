@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .ordered import CHUNK, ordered_chunks
 
 
-def _next_start(times: np.ndarray, size: int, span: int) -> np.ndarray:
+def next_start(times: np.ndarray, size: int, span: int) -> np.ndarray:
     by_time = np.searchsorted(times, times + span, side="right")
     return np.minimum(np.arange(len(times)) + size, by_time)
 
@@ -30,7 +30,7 @@ def summarise_stretch(times: np.ndarray, size: int, span: int) -> dict[str, np.n
     """For each possible first start: start time and rows of the batch left open, and batches begun."""
     n = len(times)
     # starts are followed in steps that double; the end is a start that leads to itself
-    nxt = np.append(_next_start(times, size, span), n)
+    nxt = np.append(next_start(times, size, span), n)
     last, begun = np.arange(n + 1), np.append(np.ones(n, np.int64), 0)
     while (nxt < n).any():
         last = np.where(nxt < n, last[nxt], last)
@@ -124,7 +124,7 @@ def batch_transfers(
                 times[lo : min(lo + size, hi)], hi - lo, size, span,
                 int(starts[lo]) if carried else None, int(rows[lo]) if carried else 0,
             )
-            nxt = _next_start(times[lo:hi], size, span).tolist()
+            nxt = next_start(times[lo:hi], size, span).tolist()
             while p < hi - lo:
                 ids[lo + p] = 1
                 p = nxt[p]

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.incremental import new_keys, once_per_key
-
 
 def watch_files(spark: SparkSession, path: str, schema, fmt: str = "json", max_files: int | None = None, pattern: str | None = None) -> DataFrame:
     """Files that appear in a folder; the checkpoint remembers the loaded ones."""
@@ -32,29 +31,26 @@ def load_new_files(stream: DataFrame, target: str, checkpoint: str) -> Streaming
     )
 
 
-def append_once(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str]) -> StreamingQuery:
-    """Append rows whose keys the target does not hold.
+def _first_of_batch(keys: Sequence[str]):
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield part.drop_duplicates(list(keys))
 
-    Each batch goes to its own folder, which a retry of the batch overwrites, and is
-    compared with the other batches' folders only: a repeated batch gives the same rows.
-    """
+    return run
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = [f"{target}/batch={i}" for i in range(batch_id)]
-        if earlier:
-            base = spark.read.option("basePath", target).parquet(*earlier)
-            fresh = new_keys(batch, base, keys)
-        else:
-            fresh = once_per_key(batch, keys)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def append_once(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], base: DataFrame | None = None) -> StreamingQuery:
+    """Append the first row of every key (null is a value) that neither earlier triggers nor ``base`` hold.
+
+    The keys seen are the query's state, so a trigger looks up its own keys and reads nothing that earlier ones wrote; keep the state
+    in RocksDB, as ``build_session`` does, and only what a trigger touches is loaded. Rows of one key are cut down inside each Arrow
+    batch first, so that a key with most rows does not meet in one task. ``base`` is a stored table whose keys count as appended; it is
+    read in every trigger.
+    """
+    if base is not None:
+        stream = stream.join(base.select(*keys).distinct(), list(keys), "left_anti")
+    fewer = stream.mapInPandas(_first_of_batch(keys), stream.schema)
+    return load_new_files(fewer.dropDuplicates(list(keys)), target, checkpoint)
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
