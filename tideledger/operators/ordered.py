@@ -62,11 +62,11 @@ def row_id(*columns: Column | str, prefix: str | None = None) -> Column:
     return digest if prefix is None else F.concat(F.lit(prefix + "_"), digest)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:
-    """SQL ``RANK()`` of a numeric ``value`` within ``keys``, also for keys too large for one task.
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """SQL ``RANK()`` of each distinct (``keys``, ``value``), also for keys too large for one task.
 
     One lazy plan for every size: rows are counted per distinct value, values fall into levels that rise with them (16 for
-    each doubling), a window holds one level's distinct values or one key's levels, and ranks join back to the rows.
+    each doubling), and a window holds one level's distinct values or one key's levels.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     number = F.col(value).cast("double")
@@ -80,19 +80,23 @@ def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", d
     levels = levels.select(*keys, "__level", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy(*keys, "__level").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-    ranks = _null_safe_join(counts, levels, [*keys, "__level"])
-    ranks = ranks.select(*keys, value, (F.col("__offset") + F.col("__before") + 1).alias(name))
-    return _null_safe_join(df, ranks, [*keys, value])
+    ranks = null_safe_join(counts, levels, [*keys, "__level"])
+    return ranks.select(*keys, value, (F.col("__offset") + F.col("__before") + 1).alias(name))
+
+
+def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """Rows with the ``RANK()`` of a numeric ``value`` within ``keys``: ``value_ranks`` joined back."""
+    return null_safe_join(df, value_ranks(df, keys, value, name, descending), [*keys, value])
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     renamed = right.select(
         *[F.col(c).alias(f"__r_{c}") for c in on], *[F.col(c) for c in right.columns if c not in on]
     )
     same = F.lit(True)
     for c in on:
         same = same & left[c].eqNullSafe(renamed[f"__r_{c}"])
-    return left.join(renamed, same).drop(*[f"__r_{c}" for c in on])
+    return left.join(renamed, same, how).drop(*[f"__r_{c}" for c in on])
 
 
 def running_total(
@@ -116,6 +120,6 @@ def running_total(
             .agg(F.sum(value).alias("__sum"))
             .select(*keys, *levels[:depth], F.coalesce(F.sum("__sum").over(before), F.lit(0.0)).alias("__open"))
         )
-        out = _null_safe_join(out, opening, [*keys, *levels[:depth]])
+        out = null_safe_join(out, opening, [*keys, *levels[:depth]])
         out = out.withColumn(name, F.col(name) + F.col("__open")).drop("__open")
     return out.drop(*levels)

@@ -12,7 +12,7 @@ from ..functions import jsontext as J
 from ..functions.amounts import lossy_double, nearest_power_of_ten, snapped_notional
 from ..functions.labels import chain_display_name
 from ..operators.joins import grid, lookup
-from ..operators.ordered import ranked
+from ..operators.ordered import null_safe_join, ranked, value_ranks
 from ..operators.windows import at_latest, top_dense
 
 PATHWAY = ["from_chain", "to_chain", "from_token", "to_token"]
@@ -109,12 +109,15 @@ def best_route_vs_tracked(quotes: DataFrame, tracked: Column) -> DataFrame:
 
     ``tracked`` is a condition on the quote's bridges.
     """
-    group = ["date", "aggregator", *PATHWAY]
-    placed = ranked(quotes, group, "final_out_amount", "max_value_rank_by_output")
-    best = placed.where("max_value_rank_by_output = 1")
+    group, value, rank = ["date", "aggregator", *PATHWAY], "final_out_amount", "max_value_rank_by_output"
+    # the best need no ranks, and ranks only groups with a quote of the tracked bridge
+    top = quotes.groupBy(*group).agg(F.max(value).alias(value))
+    best = null_safe_join(quotes, top, [*group, value]).withColumn(rank, F.lit(1).cast("bigint"))
+    mine = quotes.where(tracked)
+    rivals = null_safe_join(quotes.select(*group, value), mine.select(*group).distinct(), group)
+    placed = null_safe_join(mine, value_ranks(rivals, group, value, rank), [*group, value])
     same = ["date", *PATHWAY, "in_value_usd"]
-    values = ("out_value_usd", "gas_fee", "final_out_amount", "max_value_rank_by_output")
-    own = placed.where(tracked).select(*same, *[F.col(c).alias(f"tracked_{c}") for c in values])
+    own = placed.select(*same, *[F.col(c).alias(f"tracked_{c}") for c in ("out_value_usd", "gas_fee", value, rank)])
     return best.join(own, same, "left")
 
 
