@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tideledger.session import new_path
 
@@ -92,10 +93,21 @@ def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return known.rows(docs, False).unionAll(known.rows(docs, True).join(ids.select("doc_id"), "doc_id", "left_anti"))
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` (null is an id too) is in ``decisions``, with the columns of ``docs``."""
-    kept = decisions.select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
+def with_row(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` as in ``texts``, and all columns of ``docs`` as the struct ``row``, so that no names clash."""
+    own = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), own)
+
+
+def kept_by(docs: DataFrame, keep: Callable) -> DataFrame:
+    """The rows of ``docs`` for which ``keep``, given a batch of ``with_row``, is true: each row is decided where it lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array(np.asarray(keep(batch), bool))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(kept)], names=["row"])
+
+    return with_row(docs).mapInArrow(run, StructType([StructField("row", docs.schema)])).select("row.*")
 
 
 class Encoder:

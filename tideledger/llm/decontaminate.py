@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideledger.llm.common import keep_rows, texts
+from tideledger.llm.common import kept_by, texts
 
 #: edits allowed, as a share of the item's characters
 EDITS = 0.2
@@ -240,19 +240,25 @@ def least_edits(item: str, text: str) -> int:
     return best
 
 
+def _held(found: Index, texts_: pa.Array) -> dict[tuple[int, int], int]:
+    """Fewest edits by (row, item) of a batch's texts."""
+    rows: dict[tuple[int, int], int] = {}
+    bodies: list[str] = []
+    low = size = 0
+    for row, text in enumerate(texts_):
+        bodies.append(normalised(text.as_py()))
+        size += len(bodies[-1])
+        if size > 1 << 20 or row + 1 == len(texts_):
+            rows.update({(low + k, item): n for (k, item), n in _verified(found, bodies).items()})
+            low, size, bodies = row + 1, 0, []
+    return rows
+
+
 def _search(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = index.value
         for batch in batches:
-            rows: dict[tuple[int, int], int] = {}
-            bodies: list[str] = []
-            low = size = 0
-            for row, text in enumerate(batch.column("text")):
-                bodies.append(normalised(text.as_py()))
-                size += len(bodies[-1])
-                if size > 1 << 20 or row + 1 == len(batch):
-                    rows.update({(low + k, item): n for (k, item), n in _verified(found, bodies).items()})
-                    low, size, bodies = row + 1, 0, []
+            rows = _held(found, batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
             hits = [(ids[row], found.items[item][0], n, len(found.items[item][1])) for (row, item), n in rows.items()]
             columns = list(zip(*hits, strict=True)) or [()] * 4
@@ -302,21 +308,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     The benchmark goes to the tasks in blocks of about ``BLOCK_BYTES``, one narrow pass over the documents for each block.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + size // BLOCK_BYTES
     rows = texts(docs)
     found = None
-    for number in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == number).distinct()
-        index = spark.sparkContext.broadcast(Index([(row.item_id, row.text) for row in own.collect()]))
+    for index in _indexes(benchmark):
         part = rows.mapInArrow(_search(index), "doc_id long, item_id long, edits long, n_chars long")
         found = part if found is None else found.unionAll(part)
     return found.groupBy("doc_id", "item_id").agg(F.min("edits").alias("edits"), F.min("n_chars").alias("n_chars"))
 
 
+def _indexes(benchmark: DataFrame) -> Iterator:
+    """The benchmark's items as broadcasts of about ``BLOCK_BYTES``."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = 1 + size // BLOCK_BYTES
+    for number in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == number).distinct()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(row.item_id, row.text) for row in own.collect()]))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, with all their columns; each row is judged by its own text.
+
+    A narrow pass for each block of the benchmark, one behind the other.
+    """
+    kept = docs
+    for index in _indexes(benchmark):
+        kept = kept_by(kept, _clean(index))
+    return kept
+
+
+def _clean(index):
+    def clean(batch: pa.RecordBatch) -> np.ndarray:
+        kept = np.ones(batch.num_rows, bool)
+        kept[[row for row, _ in _held(index.value, batch.column("text"))]] = False
+        return kept
+
+    return clean

@@ -12,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tideledger.llm.common import IdMap, keep_rows, texts, written
+from tideledger.llm.common import IdMap, texts, with_row, written
 from tideledger.llm.components import components
 from tideledger.llm.shingles import batches_of_sets, mixed, shingle_sets
 
@@ -157,14 +158,13 @@ def set_number(own: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def _describe(width: int, with_text: bool = False):
+def _describe(width: int, *more: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for part, sets in batches_of_sets(batches, width):
                 numbers = [set_number(own) for own in sets]
                 columns = [[len(own) for own in sets], [n for n, _ in numbers], [n for _, n in numbers]]
                 arrays = [part.column("doc_id"), *(pa.array(column, pa.int64()) for column in columns)]
-                more = ["text"] if with_text else []
                 arrays.extend(part.column(name) for name in more)
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "one", "two", *more])
 
@@ -287,26 +287,30 @@ def near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
        connect components leave a block. So every candidate pair is compared or already connected, and no group's pairs are
        ever listed.
     """
+    sized, classes, repeated = _classed(docs, similarity)
+    if repeated:
+        smallest = classes.groupBy("component").agg(F.min("least").alias("smallest"))
+        classes = classes.join(smallest, "component").withColumn("component", F.col("smallest"))
+    classes = classes.select("n_shingles", "one", "two", "component")
+    placed = sized.filter("n_shingles > 0").join(classes, ["n_shingles", "one", "two"])
+    placed = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    return placed.unionAll(sized.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _classed(docs: DataFrame, similarity: Similarity) -> tuple[DataFrame, DataFrame, bool]:
+    """Sets of rows, classes of equal sets with their components' keys, and whether keys are other than smallest ids."""
     rows = texts(docs)
     sized = rows.mapInArrow(_describe(similarity.width), "doc_id long, n_shingles long, one long, two long")
     sized = written(sized, "sizes")
     classes = sized.filter("n_shingles > 0").groupBy("n_shingles", "one", "two").agg(F.min("doc_id").alias("least"))
     classes, repeated = _represented(written(classes, "classes"), sized)
     links = _found_links(rows, sized, classes, repeated, similarity)
-    named = components(links) if links is not None else None
-    if named is not None:
-        named = named.withColumnRenamed("node", "rep")
-        classes = classes.join(named, "rep", "left")
+    if links is not None:
+        classes = classes.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
     else:
         classes = classes.withColumn("component", F.lit(None).cast("long"))
     classes = classes.select("n_shingles", "one", "two", "least", F.coalesce("component", "rep").alias("component"))
-    if repeated is not None:
-        smallest = classes.groupBy("component").agg(F.min("least").alias("smallest"))
-        classes = classes.join(smallest, "component").withColumn("component", F.col("smallest"))
-    classes = classes.select("n_shingles", "one", "two", "component")
-    placed = sized.filter("n_shingles > 0").join(classes, ["n_shingles", "one", "two"])
-    placed = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    return placed.unionAll(sized.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return sized, classes, repeated is not None
 
 
 def _represented(classes: DataFrame, sized: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -339,7 +343,7 @@ def _bodies(rows: DataFrame, found: DataFrame, repeated: DataFrame | None, width
     bodies = bodies.join(plain, bodies["doc_id"] == plain["rep"]).select("one", "doc_id", "text")
     if repeated is not None:
         unsure = rows.filter("doc_id IS NULL").unionAll(rows.join(repeated, "doc_id", "left_semi"))
-        named = unsure.mapInArrow(_describe(width, True), "doc_id long, n_shingles long, one long, two long, text string")
+        named = unsure.mapInArrow(_describe(width, "text"), "doc_id long, n_shingles long, one long, two long, text string")
         named = named.drop("doc_id").join(found.filter("odd"), ["n_shingles", "one", "two"])
         bodies = bodies.unionAll(named.select("one", F.col("rep").alias("doc_id"), "text"))
     return bodies.dropDuplicates(["one", "doc_id"])
@@ -393,5 +397,20 @@ def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: Da
 
 
 def drop_near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
-    """The rows of ``docs`` that name their component, with all their columns: one document of each group stays."""
-    return keep_rows(docs, near_copies(docs, similarity).filter("doc_id <=> component_id"))
+    """The rows of ``docs`` that stay, one of each group of near copies, with all their columns.
+
+    The smallest ``doc_id`` of a group stays (null after all others); of its rows with that id the one whose set has the smallest
+    name, so that null and repeated ids keep one row of each group, too. Texts without words all stay.
+    """
+    _, classes, _ = _classed(docs, similarity)
+    least = F.struct(F.col("least").isNull().alias("nameless"), "least", "n_shingles", "one", "two")
+    first = classes.groupBy("component").agg(F.min(least).alias("first"))
+    first = first.select(*[F.col(f"first.{name}").alias(f"first_{name}") for name in ("least", "n_shingles", "one", "two")])
+    schema = "doc_id long, n_shingles long, one long, two long"
+    schema = StructType([*StructType.fromDDL(schema).fields, StructField("row", docs.schema)])
+    rows = with_row(docs).mapInArrow(_describe(similarity.width, "row"), schema)
+    same = rows["doc_id"].eqNullSafe(first["first_least"])
+    for name in ("n_shingles", "one", "two"):
+        same = same & (rows[name] == first[f"first_{name}"])
+    one_each = rows.join(first, same, "left_semi").dropDuplicates(["doc_id", "n_shingles", "one", "two"])
+    return one_each.select("row.*").unionAll(rows.filter("n_shingles = 0").select("row.*"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideledger.llm.common import keep_rows, texts
+from tideledger.llm.common import kept_by, texts
 
 #: labelled documents that training uses at most: those with the smallest hashes of ``doc_id``
 TRAINING = 6_000
@@ -138,12 +138,16 @@ class Attention:
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINING) -> Attention:
     """A model from at most ``bound`` labelled documents that are not held out.
 
-    A document with several labels counts by the smallest one; null labels and null ids are left out. Where there is no label,
+    A document with several labels counts by the smallest one, an id with several texts by that with the smallest hash; null labels
+    and null ids are left out. Where there is no label,
     or one kind only, every score is the share of good labels, counting one more good one.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     rows = texts(docs).join(F.broadcast(known), "doc_id")  # at most ``bound`` rows
+    # one text for each id, whatever the order and number of its rows
+    rows = rows.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct(F.md5("text").alias("hash"), "text")).alias("own"))
+    rows = rows.select("doc_id", F.col("own.text").alias("text"), "quality")
     shaped = rows.select("doc_id", "text", "quality").mapInArrow(_training, "doc_id long, quality int, rows int, x binary")
     found = {row.doc_id: row for row in shaped.toLocalIterator()}
     if not found:
@@ -207,5 +211,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier doesn't reject, with all their columns."""
-    return keep_rows(docs, quality_scores(docs, labels, threshold).filter("predicted = 1"))
+    """The rows of ``docs`` that the classifier doesn't reject, with all their columns; each row is judged by its own text."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def good(batch: pa.RecordBatch) -> np.ndarray:
+        scores = [model.value.score(own) for _, own in _texts(batch)]
+        return np.concatenate(scores) >= threshold if scores else np.zeros(0, bool)
+
+    return kept_by(docs, good)
