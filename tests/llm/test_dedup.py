@@ -126,8 +126,8 @@ def local_suffix_dedup(rows):
         (int(key.view(np.int64)), min(int(place), reach), bodies[row][max(0, place - reach) : place + length], rows[row][0], int(place) << 16)
         for row, place, key in zip(owner, places, keys, strict=True)
     )
-    columns = [*zip(*records, strict=True), [None] * len(records)]
-    kinds = [("key", pa.int64()), ("before", pa.int32()), ("body", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64()), ("more", pa.list_(pa.int64()))]
+    columns = [*zip(*records, strict=True), [None] * len(records), [0] * len(records)]
+    kinds = [("key", pa.int64()), ("before", pa.int32()), ("body", pa.binary()), ("doc_id", pa.int64()), ("place", pa.int64()), ("more", pa.list_(pa.int64())), ("sub", pa.int64())]
     batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
     parts = [batch.slice(low, 5) for low in range(0, len(batch), 5)]
     spans, strings = [], []
@@ -160,6 +160,27 @@ def test_suffix_dedup_ids(spark):
     assert {row.kept for row in found if row.doc_id is None} == {"x", ""}
 
 
+@pytest.mark.parametrize("step", [1, -1])
+def test_suffix_dedup_of_many_rows_without_ids(spark, step):
+    """Each row loses what smaller ids hold, and only that; rows of one id, or without one, don't judge each other."""
+    some = random.Random(5)
+    text = lambda n: "".join(some.choices("abcdefgh ", k=n))
+    shared = [text(120) for _ in range(3)]
+    rows = [(1, shared[0] + text(80)), (1, text(200)), (2, shared[1]), (2, shared[2] + shared[2]), (2**63 - 1, text(70))]
+    rows += [(None, text(100) + (some.choice(shared) if n % 3 else "") + text(100)) for n in range(2000)]
+    rows += [(None, rows[6][1]), (None, shared[1]), (3, rows[9][1][:150]), (3, rows[9][1][60:])]
+    expected = []
+    for key, body in rows:
+        smaller = {t[i : i + 50] for k, t in rows if k is not None and (key is None or k < key) for i in range(len(t) - 49)}
+        gone = set()
+        for i in range(len(body) - 49):
+            if body[i : i + 50] in smaller:
+                gone.update(range(i, i + 50))
+        expected.append((key, "".join(c for i, c in enumerate(body) if i not in gone)))
+    found = suffix_dedup.remove_repeats(table(spark, rows[::step])).collect()
+    assert sorted(((row.doc_id, row.kept) for row in found), key=repr) == sorted(expected, key=repr)
+
+
 def test_sorted_suffixes():
     import numpy as np
 

@@ -87,12 +87,6 @@ class IdMap:
         return found.mapInArrow(_marked(self.sent, marked), "doc_id long, text string")
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows (``doc_id``, ``text``) whose id isn't in ``ids``; only texts that may be are shuffled."""
-    known = IdMap(ids)
-    return known.rows(docs, False).unionAll(known.rows(docs, True).join(ids.select("doc_id"), "doc_id", "left_anti"))
-
-
 def with_row(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` as in ``texts``, and all columns of ``docs`` as the struct ``row``, so that no names clash."""
     own = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
