@@ -224,6 +224,22 @@ def test_personal_data(spark):
     assert added <= 0.05 * sum(row.n_email + row.n_ip + row.n_card + row.n_phone for row in found)
 
 
+def test_personal_data_of_long_texts(spark):
+    """Thousands of spans in one text, over many runs; candidates inside base spans are left out wherever they are."""
+    rng = random.Random(8)
+    parts = ["ann.{n}@mail{n}.example.org", "10.{m}.0.{m}", "10.{m}.999.1", "+33 6 12 34 5{m} 7", "call 555-010-{n:04d}", "4111 1111 1111 1111;", "word"]
+    texts = [" ".join(rng.choice(parts).format(n=n, m=n % 10) for n in range(size)) for size in (127, 128, 129, 6000)]
+    rows = list(enumerate(texts))
+    found = {row.doc_id: row for row in pii.digests(pii.personal_data(table(spark, rows))).collect()}
+    for key, text in rows:
+        base = brute.personal_data(text)
+        assert found[key].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        own = [tuple(map(int, span.split(":")[1:])) for span in base.split(",")]
+        for span in set(found[key].spans.split(",")) - set(base.split(",")):
+            start, end = map(int, span.split(":")[1:])
+            assert not any(low < end and start < high for low, high in own)
+
+
 def test_personal_data_of_empty_table(spark):
     assert pii.digests(pii.personal_data(table(spark, []))).count() == 0
     only = pii.digests(pii.personal_data(table(spark, [(1, "nothing here")]))).collect()

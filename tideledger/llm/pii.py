@@ -52,12 +52,23 @@ AGAINST = r'(?i)(version|release|isbn|order|invoice|token|hash|commit|build|seri
 ROUNDS = 20
 #: By labeler (pattern, gazetteer, context): right votes beforehand, as a share of all spans.
 TRUST = (1.0, 0.1, 0.1)
+#: Matches of a document that are worked on together.
+RUN = 128
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _PLACED = "array<struct<start:int,m:string,digits:string,left:string,next:string>>"
 
 
+def _runs(items: Column) -> Column:
+    """An array cut into arrays of up to ``RUN`` neighbours."""
+    begins = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(RUN)))
+    return F.transform(begins, lambda i: F.slice(items, i, F.lit(RUN)))
+
+
 def _placed(parts: Column, between: Column) -> Column:
-    """Matches with their start, digits, and the characters around them, from the text between the matches."""
+    """Matches with their start, digits, and the characters around them, from the text between the matches.
+
+    Starts are summed run by run, so that the array that grows by one is never longer than a run.
+    """
     zipped = F.transform(parts, lambda m, i: F.struct(m.alias("m"), between[i].alias("b"), between[i + 1].alias("a")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACED).alias("spans"))
 
@@ -72,7 +83,12 @@ def _placed(parts: Column, between: Column) -> Column:
         )
         return F.struct((at + F.char_length(x["m"])).alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
 
-    return F.coalesce(F.aggregate(zipped, start, step, lambda done: done["spans"]), F.array().cast(_PLACED))
+    def whole_run(done: Column, run: Column) -> Column:
+        empty = F.struct(done["at"].alias("at"), F.array().cast(_PLACED).alias("spans"))
+        more = F.aggregate(run, empty, step)
+        return F.struct(more["at"].alias("at"), F.concat(done["spans"], more["spans"]).alias("spans"))
+
+    return F.coalesce(F.aggregate(_runs(zipped), start, whole_run, lambda done: done["spans"]), F.array().cast(_PLACED))
 
 
 def _luhn(digits: Column) -> Column:
@@ -144,10 +160,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     placed = rows.select("doc_id", *(_placed(F.col(f"s{n}.m"), F.col(f"s{n}.b")).alias(f"p{n}") for n in range(len(plans))))
     voted = [F.transform(f"p{n}", _voted(kind, loose)) for n, (kind, _, loose) in enumerate(plans)]
     spans = placed.select("doc_id", F.sort_array(F.concat(*voted)).alias("all"))
-    spans = spans.withColumn("own", F.filter("all", lambda x: x["base"]))
+    # base spans by runs, each with its first start and last end: a candidate is compared with the runs that it touches
+    own = _runs(F.filter("all", lambda x: x["base"]))
+    runs = F.transform(own, lambda run: F.struct(run[0]["start"].alias("start"), F.array_max(run["end"]).alias("end"), run.alias("run")))
+    spans = spans.withColumn("own", F.coalesce(runs, F.array()))
+
+    def touches(y: Column, x: Column) -> Column:
+        return (y["start"] < x["end"]) & (x["start"] < y["end"])
 
     def clear(x: Column) -> Column:
-        return x["base"] | ~F.exists(F.col("own"), lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+        return x["base"] | ~F.exists("own", lambda z: touches(z, x) & F.exists(z["run"], lambda y: touches(y, x)))
 
     return spans.select("doc_id", F.filter("all", clear).alias("spans"))
 
