@@ -536,7 +536,7 @@ def _(t):
 
 @query("W2_row_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS n FROM orders")
 def _(t):
-    return O.with_row_number(t.orders, F.col("o_orderdate").desc(), "o_orderkey", name="n").select("o_orderkey", "n")
+    return O.with_row_number(t.orders, "o_orderdate", "o_orderkey", name="n", descending=["o_orderdate"]).select("o_orderkey", "n")
 
 
 @query("W2_hash_id", "SELECT count(*) AS n, count(DISTINCT id) AS ids FROM @fx_transfers")

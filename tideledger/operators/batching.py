@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import CHUNK, ordered_chunks
+from .ordered import CHUNK, null_safe_join, ordered_keys, with_copy_number
 
 
 def next_start(times: np.ndarray, size: int, span: int) -> np.ndarray:
@@ -61,10 +61,14 @@ def batch_transfers(
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     size, span = batch_size, int(window_hours * 3600 * 1_000_000)
-    chunks = ordered_chunks(
-        df.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp"))), *keys, "__us", tie_breaker,
-        rows_per_chunk=rows_per_chunk,
-    )
+    timed = df.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+    order = [*keys, "__us", tie_breaker]
+    # keys, time and tie breaker go through the range step; the rows take their numbers by a join
+    chunks = ordered_keys(timed, order, rows_per_chunk=rows_per_chunk)
+    timed, own = with_copy_number(timed, order, chunks)
+    if "__copy" in own:
+        chunks = chunks.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    chunks = chunks.drop("__n")
     fields = {f.name: f.dataType for f in chunks.schema}
     key_ddl = ", ".join(f"`{k}` {fields[k].simpleString()}" for k in keys)
 
@@ -108,8 +112,7 @@ def batch_transfers(
     )
     wide = chunks.join(F.broadcast(held), same & (F.col(CHUNK) == F.col("__r_chunk")), "left")
     wide = wide.drop("__r_chunk", *[f"__r_{k}" for k in keys])
-    columns = [c for c in chunks.columns if c not in (CHUNK, "__us")]
-    out_ddl = ", ".join(f"`{c}` {fields[c].simpleString()}" for c in columns)
+    out_ddl = ", ".join(f"`{c}` {fields[c].simpleString()}" for c in own)
 
     def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf["__code"] = pdf.groupby(list(keys), dropna=False, sort=False).ngroup()
@@ -130,9 +133,10 @@ def batch_transfers(
                 p = nxt[p]
             ids[lo:hi] = np.cumsum(ids[lo:hi]) + (int(done[lo]) if carried else 0)
         pdf["batch_id"] = ids
-        return pdf[[*columns, "batch_id"]]
+        return pdf[[*own, "batch_id"]]
 
-    return wide.groupBy(CHUNK).applyInPandas(number, f"{out_ddl}, batch_id bigint")
+    numbers = wide.groupBy(CHUNK).applyInPandas(number, f"{out_ddl}, batch_id bigint")
+    return null_safe_join(timed, numbers, own).drop("__us", "__copy")
 
 
 def aggregate_batches(batched: DataFrame, keys: Sequence[str], ts: str, sums: Sequence[str], as_of=None) -> DataFrame:

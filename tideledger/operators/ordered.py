@@ -32,23 +32,40 @@ def ordered_chunks(df: DataFrame, *order: Column | str, rows_per_chunk: int | No
     return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
-def with_row_number(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
-    """Exact global numbering: per-chunk numbers plus the rows of earlier chunks."""
-    chunks = ordered_chunks(df, *order)
+def ordered_keys(df: DataFrame, order: Sequence[str], descending: Sequence[str] = (), rows_per_chunk: int | None = None) -> DataFrame:
+    """The distinct values of ``order`` with their number of rows (``__n``) in range chunks: only sort keys are written."""
+    keys = df.groupBy(*order).agg(F.count(F.lit(1)).alias("__n"))
+    return ordered_chunks(keys, *directed(order, descending), rows_per_chunk=rows_per_chunk)
+
+
+def directed(order: Sequence[str], descending: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc() if c in descending else F.col(c).asc() for c in order]
+
+
+def with_copy_number(df: DataFrame, order: Sequence[str], keys: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with ``__copy`` (1, 2, ...) among rows equal in ``order``, if ``keys`` counts any; and the columns that tell rows apart."""
+    if keys.where("__n > 1").isEmpty():
+        return df, list(order)
+    again = Window.partitionBy(*order).orderBy(F.lit(1))
+    return df.withColumn("__copy", F.row_number().over(again)), [*order, "__copy"]
+
+
+def with_row_number(df: DataFrame, *order: str, name: str = "row_number", descending: Sequence[str] = ()) -> DataFrame:
+    """Exact global numbering by ``order``: numbers are found for the sort keys alone, and join back to the rows.
+
+    Rows equal on all of ``order`` are numbered arbitrarily among themselves.
+    """
+    keys = ordered_keys(df, order, descending)
     before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     # one row per range partition
-    offsets = (
-        chunks.groupBy(CHUNK)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    local = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*[col(c) for c in order]))
-    return (
-        chunks.withColumn("__local", local)
-        .join(F.broadcast(offsets), CHUNK)
-        .withColumn(name, F.col("__offset") + F.col("__local"))
-        .drop(CHUNK, "__local", "__offset")
-    )
+    offsets = keys.groupBy(CHUNK).agg(F.sum("__n").alias("__m"))
+    offsets = offsets.select(CHUNK, F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy(CHUNK).orderBy(*directed(order, descending)).rowsBetween(Window.unboundedPreceding, -1)
+    placed = keys.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(F.broadcast(offsets), CHUNK)
+    placed = placed.select(*order, (F.col("__offset") + F.col("__inside")).alias("__before"))
+    rows, own = with_copy_number(df, order, keys)
+    copy = F.col("__copy") if "__copy" in own else F.lit(1)
+    return null_safe_join(rows, placed, order).withColumn(name, F.col("__before") + copy).drop("__before", "__copy")
 
 
 def row_id(*columns: Column | str, prefix: str | None = None) -> Column:

@@ -628,7 +628,7 @@ def all_transfers(cleaned: Mapping[str, DataFrame], exact_numbers: bool = False)
     for label, df in cleaned.items():
         if exact_numbers:
             keyed = df.withColumn("__h", row_id(*CANONICAL_COLUMNS))
-            keyed = with_row_number(keyed, F.col("from_date").desc(), "__h", name="__n")
+            keyed = with_row_number(keyed, "from_date", "__h", name="__n", descending=["from_date"])
             ident = F.concat(F.lit(label + "_"), F.col("__n").cast("string"))
             parts.append(keyed.withColumn("id", ident).select(*CANONICAL_COLUMNS))
         else:
