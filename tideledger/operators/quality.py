@@ -18,28 +18,25 @@ PROFILE_COLUMNS = (
 )
 
 
-def _long_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value as text, value as number, count): one shuffle of partial counts."""
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, two hashes of the value as text, value as number, count) of values that aren't null.
+
+    Each column is counted by a scan of its own, which reads that column alone, and partial counts of hashes are shuffled, never
+    texts. So the cost is that of the columns one after the other; ``df`` should be a stored table.
+    """
     numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col(c).cast("string").alias("value"),
-                    (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"),
-                )
-                for c in columns
-            ]
-        )
-    )
-    return df.select(cells.alias("cell")).select("cell.*").groupBy("column_name", "value", "number").count()
+
+    def counted(c: str) -> DataFrame:
+        value = F.col(c).cast("string")
+        number = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        names = [F.lit(c).alias("column_name"), F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2")]
+        return df.where(F.col(c).isNotNull()).select(*names, number.alias("number")).groupBy("column_name", "h1", "h2", "number").count()
+
+    return reduce(lambda a, b: a.unionAll(b), [counted(c) for c in columns])
 
 
-def exact_medians(counts: DataFrame) -> DataFrame:
-    """Median per column from value counts, through range chunks (no column is sorted in one task)."""
-    numbers = counts.where(F.col("number").isNotNull()).select("column_name", "number", F.col("count").alias("n"))
-    chunks = ordered_chunks(numbers, "column_name", "number")
+def exact_medians(chunks: DataFrame) -> DataFrame:
+    """Median per column from value counts in range chunks (no column is sorted in one task)."""
     earlier = Window.partitionBy("column_name").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("column_name")
     offsets = (
@@ -98,12 +95,19 @@ def profile(df: DataFrame, table_name: str, columns: Sequence[str] | None = None
         )
     )
     wide = one.select("row_count", cells.alias("c")).select("row_count", "c.*")
-    counts = _long_counts(df, names)
-    distinct = counts.where(F.col("value").isNotNull()).groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
+    # numbers are counted once, for medians and distinct values
+    found = []
     if numeric:
-        wide = wide.join(exact_medians(counts), "column_name", "left")
+        counts = _value_counts(df, [c for c in names if c in numeric])
+        chunks = ordered_chunks(counts.select("column_name", "number", F.col("count").alias("n")), "column_name", "number")
+        wide = wide.join(exact_medians(chunks), "column_name", "left")
+        found.append(chunks)
     else:
         wide = wide.withColumn("median", F.lit(None).cast("double"))
+    if len(numeric) < len(names):
+        found.append(_value_counts(df, [c for c in names if c not in numeric]))
+    distinct = [part.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")) for part in found]
+    distinct = reduce(lambda a, b: a.unionAll(b), distinct)
     rows = F.col("row_count")
     return (
         wide.join(distinct, "column_name", "left")
