@@ -119,6 +119,29 @@ def test_grid_fills_gaps_forward_only(spark):
     assert got == [("a", 0, 1.0, 5.0), ("a", 1, 1.0, None), ("a", 2, 1.0, None), ("a", 3, 1.0, 6.0), ("b", 1, 2.0, None)]
 
 
+def test_grid_fills_gaps_of_years(spark):
+    """Every minute of three years between two ticks, in pieces."""
+    rows = [("a", T0, 1.0), ("a", T0 + timedelta(days=1096, minutes=7), 2.0), ("a", T0 + timedelta(days=1096, minutes=8), 3.0)]
+    grid = SR.regular_grid(spark.createDataFrame(rows, "k string, t timestamp, p double"), ["k"], "t", "1 minute", ["p"])
+    got = grid.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("t").alias("d"), F.min("t").alias("a"), F.max("t").alias("z")).collect()
+    minutes = 1096 * 1440 + 7
+    assert {r.p: (r.n, r.d) for r in got} == {1.0: (minutes, minutes), 2.0: (1, 1), 3.0: (1, 1)}
+    assert {(r.a, r.z) for r in got if r.p == 1.0} == {(T0, rows[1][1] - timedelta(minutes=1))}
+
+
+def test_row_numbers_and_batches_of_equal_rows(spark):
+    """Rows equal in all sort keys, some of them null, get numbers of their own."""
+    rows = [(None, 1), (None, 1), (2, 5), (2, 5), (2, 5), (1, 9)]
+    df = spark.createDataFrame(rows, "x int, y int")
+    got = O.with_row_number(df, "x", "y", name="n", descending=["x"]).collect()
+    assert sorted(r.n for r in got) == [1, 2, 3, 4, 5, 6]
+    assert {r.n for r in got if r.x == 2} == {1, 2, 3} and {r.n for r in got if r.x is None} == {5, 6}
+    same = spark.createDataFrame([("k", T0, 1)] * 5 + [("k", T0 + timedelta(hours=9), 1)] * 2, "k string, t timestamp, id int")
+    batched = batch_transfers(same, ["k"], "t", "id", 2, 1, rows_per_chunk=2).collect()
+    assert sorted(r.batch_id for r in batched) == [1, 1, 2, 2, 3, 4, 4]
+    assert {r.batch_id for r in batched if r.t > T0} == {4}
+
+
 def walk(rows, size, hours):
     """Plain greedy batching, row by row."""
     out, start, held, batch = {}, None, 0, 0

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Steps of a grid that one row is repeated for at a time.
+PIECE = 2048
+
+
 def mean_price(ticks: DataFrame, unit: str, keys: Sequence[str] = ("symbol",), ts: str = "ts", price: str = "price", out: str = "date") -> DataFrame:
     """Average price per key and time unit."""
     return ticks.groupBy(*keys, F.date_trunc(unit, F.col(ts)).alias(out)).agg(F.avg(price).alias("price"))
@@ -31,11 +35,14 @@ def regular_grid(df: DataFrame, keys: Sequence[str], ts: str, step: str, fill: S
     for c in fill:
         df = df.withColumn(c, F.last(c, ignorenulls=True).over(w))
     until = F.lead(ts).over(w) - step_size
-    df = df.withColumn("__tick", F.col(ts)).withColumn(
-        "__times", F.sequence(F.col(ts), F.greatest(F.coalesce(until, F.col(ts)), F.col(ts)), step_size)
-    )
-    rest = [c for c in df.columns if c not in (ts, "__times")]
-    dense = df.select(*rest, F.explode("__times").alias(ts))
+    last = F.greatest(F.coalesce(until, F.col(ts)), F.col(ts))
+    df = df.withColumns({"__tick": F.col(ts), "__last": last})
+    # a gap is cut into pieces, then a piece into steps: no array is longer than a piece, or than a gap has pieces
+    piece = step_size * F.lit(PIECE)
+    rest = [c for c in df.columns if c not in (ts, "__last")]
+    pieces = df.select(*rest, "__last", F.explode(F.sequence(F.col(ts), F.col("__last"), piece)).alias("__from"))
+    steps = F.sequence(F.col("__from"), F.least(F.col("__last"), F.col("__from") + piece - step_size), step_size)
+    dense = pieces.select(*rest, F.explode(steps).alias(ts))
     for c in only_at_ticks:
         dense = dense.withColumn(c, F.when(F.col(ts) == F.col("__tick"), F.col(c)))
     return dense.drop("__tick")
