@@ -85,7 +85,12 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str = "ran
     One lazy plan for every size: rows are counted per distinct value, values fall into levels that rise with them (16 for
     each doubling), and a window holds one level's distinct values or one key's levels.
     """
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    return ranks_of_counts(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), keys, value, name, descending)
+
+
+def ranks_of_counts(counts: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:
+    """``value_ranks`` of rows already counted as ``__n``; other columns of ``counts`` stay."""
+    own = [c for c in counts.columns if c != "__n"]
     number = F.col(value).cast("double")
     counts = counts.withColumn("__level", F.signum(number) * F.rint(16 * F.log2(1 + F.abs(number))))
 
@@ -98,7 +103,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str = "ran
     inside = Window.partitionBy(*keys, "__level").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
     ranks = null_safe_join(counts, levels, [*keys, "__level"])
-    return ranks.select(*keys, value, (F.col("__offset") + F.col("__before") + 1).alias(name))
+    return ranks.select(*own, (F.col("__offset") + F.col("__before") + 1).alias(name))
 
 
 def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions import jsontext as J
 from ..functions.amounts import lossy_double, nearest_power_of_ten, snapped_notional
 from ..functions.labels import chain_display_name
 from ..operators.joins import grid, lookup
-from ..operators.ordered import null_safe_join, ranked, value_ranks
+from ..operators.ordered import null_safe_join, ranked, ranks_of_counts
 from ..operators.windows import at_latest, top_dense
 
 PATHWAY = ["from_chain", "to_chain", "from_token", "to_token"]
@@ -110,12 +110,11 @@ def best_route_vs_tracked(quotes: DataFrame, tracked: Column) -> DataFrame:
     ``tracked`` is a condition on the quote's bridges.
     """
     group, value, rank = ["date", "aggregator", *PATHWAY], "final_out_amount", "max_value_rank_by_output"
-    # the best need no ranks, and ranks only groups with a quote of the tracked bridge
-    top = quotes.groupBy(*group).agg(F.max(value).alias(value))
-    best = null_safe_join(quotes, top, [*group, value]).withColumn(rank, F.lit(1).cast("bigint"))
-    mine = quotes.where(tracked)
-    rivals = null_safe_join(quotes.select(*group, value), mine.select(*group).distinct(), group)
-    placed = null_safe_join(mine, value_ranks(rivals, group, value, rank), [*group, value])
+    # ranks of distinct values; rows take those they need: the best of all, and the tracked bridge's
+    counts = quotes.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"), F.max(F.coalesce(tracked, F.lit(False))).alias("__tracked"))
+    ranks = ranks_of_counts(counts, group, value, rank)
+    best = null_safe_join(quotes, ranks.where(F.col(rank) == 1).drop("__tracked"), [*group, value])
+    placed = null_safe_join(quotes.where(tracked), ranks.where("__tracked").drop("__tracked"), [*group, value])
     same = ["date", *PATHWAY, "in_value_usd"]
     own = placed.select(*same, *[F.col(c).alias(f"tracked_{c}") for c in ("out_value_usd", "gas_fee", value, rank)])
     return best.join(own, same, "left")
