@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -18,6 +19,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 # a tokenizer file is sent to every worker; larger ones are refused
 SPEC_BYTES = 64 << 20
 MAP_BITS = 1 << 23
+# rows with all their columns that Python holds apart from the batch they came in
+ROWS_AT_ONCE = 1024
 # while a table is written: its shuffle files go at the end, and Python workers get small batches
 WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -88,18 +91,25 @@ class IdMap:
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` as in ``texts``, and all columns of ``docs`` as the struct ``row``, so that no names clash."""
-    own = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), own)
+    """All columns of ``docs`` as the struct ``row``, so that no names clash and a text is sent to Python once."""
+    return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+
+
+def row_texts(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of ``with_row``, null ones as empty."""
+    rows = batch.column("row")
+    return pc.fill_null(rows.flatten()[rows.type.get_field_index("text")], "")
 
 
 def kept_by(docs: DataFrame, keep: Callable) -> DataFrame:
-    """The rows of ``docs`` for which ``keep``, given a batch of ``with_row``, is true: each row is decided where it lies."""
+    """The rows of ``docs`` for which ``keep``, given an array of texts, is true: each row is decided where it lies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = pa.array(np.asarray(keep(batch), bool))
-            yield pa.RecordBatch.from_arrays([batch.column("row").filter(kept)], names=["row"])
+            for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(low, ROWS_AT_ONCE)
+                kept = pa.array(np.asarray(keep(row_texts(part)), bool))
+                yield pa.RecordBatch.from_arrays([part.column("row").filter(kept)], names=["row"])
 
     return with_row(docs).mapInArrow(run, StructType([StructField("row", docs.schema)])).select("row.*")
 

@@ -338,9 +338,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _clean(index):
-    def clean(batch: pa.RecordBatch) -> np.ndarray:
-        kept = np.ones(batch.num_rows, bool)
-        kept[[row for row, _ in _held(index.value, batch.column("text"))]] = False
+    def clean(bodies: pa.Array) -> np.ndarray:
+        kept = np.ones(len(bodies), bool)
+        kept[[row for row, _ in _held(index.value, bodies)]] = False
         return kept
 
     return clean

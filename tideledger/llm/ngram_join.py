@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tideledger.llm.common import IdMap, texts, with_row, written
+from tideledger.llm.common import ROWS_AT_ONCE, IdMap, row_texts, texts, with_row, written
 from tideledger.llm.components import components
 from tideledger.llm.shingles import batches_of_sets, mixed, shingle_sets
 
@@ -140,16 +140,28 @@ def _keyed(sums: np.ndarray, place: np.ndarray, band: Band) -> np.ndarray:
     return mixed(sums + place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03), 1000 + band.number)
 
 
-def signatures(own: np.ndarray, similarity: Similarity, rows: int) -> np.ndarray:
-    """Signatures of a set: in its own band, and in the one below as a larger partner."""
+def signatures(own: np.ndarray, similarity: Similarity, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set, in its own band and in the one below as a larger partner, and what ``_spared`` says of them."""
     size = len(own)
     # bands don't depend on how far they are listed, so they are listed to a power of two and kept
     listed = bands(similarity, rows, 1 << size.bit_length())
     number = next(band.number for band in listed if band.low <= size <= band.high)
-    parts = [_signatures(own, listed[number])]
+    found = [_spared(own, listed[number])]
     if number and size <= listed[number - 1].top:
-        parts.append(_signatures(own, listed[number - 1]))
-    return np.unique(np.concatenate(parts))
+        found.append(_spared(own, listed[number - 1]))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def _spared(own: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
+    """A band's signatures of one set, and for each the band's number and how many the set can spare, as one number.
+
+    A linked set differs in ``apart`` elements at most, each of which touches one part. So where every signature is a filled part,
+    all but ``apart`` of them are those of the linked set, too, and the rest of these but one can be spared.
+    """
+    keys = np.unique(_signatures(own, band))
+    filled = band.pieces == 1 and len(keys) <= int((np.bincount(((own >> np.uint64(33)) % np.uint64(band.parts)).astype(np.int64)) > 0).sum())
+    spare = max(0, len(keys) - band.apart - 1) if filled else 0
+    return keys, np.full(len(keys), band.number << 32 | spare, np.int64)
 
 
 def set_number(own: np.ndarray) -> tuple[int, int]:
@@ -158,15 +170,34 @@ def set_number(own: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
-def _describe(width: int, *more: str):
+def _describe(width: int, with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for part, sets in batches_of_sets(batches, width):
-                numbers = [set_number(own) for own in sets]
-                columns = [[len(own) for own in sets], [n for n, _ in numbers], [n for _, n in numbers]]
-                arrays = [part.column("doc_id"), *(pa.array(column, pa.int64()) for column in columns)]
-                arrays.extend(part.column(name) for name in more)
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "one", "two", *more])
+                arrays, names = [part.column("doc_id"), *_numbers(sets)], ["doc_id", "n_shingles", "one", "two"]
+                if with_text:
+                    arrays, names = [*arrays, part.column("text")], [*names, "text"]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return run
+
+
+def _numbers(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Sizes and names of sets."""
+    names = [set_number(own) for own in sets]
+    return [pa.array(column, pa.int64()) for column in ([len(own) for own in sets], [n for n, _ in names], [n for _, n in names])]
+
+
+def _describe_rows(width: int):
+    """Sizes and names of rows' sets, beside the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(low, ROWS_AT_ONCE)
+                    sets = shingle_sets([text.as_py() for text in row_texts(part).cast(pa.binary())], width)
+                    yield pa.RecordBatch.from_arrays([*_numbers(sets), part.column("row")], names=["n_shingles", "one", "two", "row"])
 
     return run
 
@@ -177,13 +208,14 @@ def _index(similarity: Similarity, rows: int):
             for _, sets in batches_of_sets(batches, similarity.width):
                 named = {set_number(own): own for own in sets if len(own)}
                 found = [signatures(own, similarity, rows) for own in named.values()]
-                sizes = [len(x) for x in found]
-                keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                sizes = [len(keys) for keys, _ in found]
+                keys = np.concatenate([np.zeros(0, np.uint64), *(keys for keys, _ in found)])
+                kinds = np.concatenate([np.zeros(0, np.int64), *(kinds for _, kinds in found)])
                 names = np.repeat(np.array([one for one, _ in named], np.int64), sizes)
                 for low in range(0, len(keys), 1 << 16):
                     own = slice(low, low + (1 << 16))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[own].view(np.int64)), pa.array(names[own])], names=["signature", "one"]
+                        [pa.array(keys[own].view(np.int64)), pa.array(names[own]), pa.array(kinds[own])], names=["signature", "one", "kind"]
                     )
 
     return run
@@ -282,6 +314,7 @@ def near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     1. Equal sets are one class, represented by the smallest id; classes are summed up before they are shuffled.
     2. Every set gives out its signatures; sets that share one are candidates. The signature table is sorted once, and each
        candidate meets the first set of its signature.
+       A set leaves out its most frequent signatures, as far as the pigeonhole has some to spare (``_members``).
     3. Those pairs are verified on whole texts, which are fetched for candidates only, and linked sets become components.
     4. Sets of signatures that still hold several components are compared across components, in blocks, and only links that
        connect components leave a block. So every candidate pair is compared or already connected, and no group's pairs are
@@ -343,7 +376,7 @@ def _bodies(rows: DataFrame, found: DataFrame, repeated: DataFrame | None, width
     bodies = bodies.join(plain, bodies["doc_id"] == plain["rep"]).select("one", "doc_id", "text")
     if repeated is not None:
         unsure = rows.filter("doc_id IS NULL").unionAll(rows.join(repeated, "doc_id", "left_semi"))
-        named = unsure.mapInArrow(_describe(width, "text"), "doc_id long, n_shingles long, one long, two long, text string")
+        named = unsure.mapInArrow(_describe(width, True), "doc_id long, n_shingles long, one long, two long, text string")
         named = named.drop("doc_id").join(found.filter("odd"), ["n_shingles", "one", "two"])
         bodies = bodies.unionAll(named.select("one", F.col("rep").alias("doc_id"), "text"))
     return bodies.dropDuplicates(["one", "doc_id"])
@@ -353,13 +386,7 @@ def _found_links(
     rows: DataFrame, sized: DataFrame, classes: DataFrame, repeated: DataFrame | None, similarity: Similarity
 ) -> DataFrame | None:
     """Links between representatives, enough to connect every component; None where no two sets share a signature."""
-    index = rows.mapInArrow(_index(similarity, sized.count()), "signature long, one long")
-    order = W.partitionBy("signature").orderBy("one")
-    index = index.select(
-        "signature", F.col("one").alias("name"), F.first("one").over(order).alias("low"), F.lag("one").over(order).alias("last")
-    )
-    # copies of a set lie next to each other; the first set of a signature is the one the others meet
-    members = written(index.filter("name != low AND name != last").select("signature", "low", "name"), "members")
+    members = _members(rows.mapInArrow(_index(similarity, sized.count()), "signature long, one long, kind long"))
     pairs = members.select("low", "name").distinct()
     wanted = members.select(F.col("name").alias("one")).unionAll(members.select(F.col("low").alias("one"))).distinct()
     found = classes.join(wanted, "one", "left_semi").select("n_shingles", "one", "two", "rep", "odd")
@@ -372,6 +399,29 @@ def _found_links(
     return first.unionAll(written(_compared(members, found, bodies, components(first, 2), similarity), "links"))
 
 
+def _members(index: DataFrame) -> DataFrame:
+    """``signature``, ``low`` (the first set that has it) and ``name`` of the others, of signatures that can tell a link.
+
+    A set that shares no more signatures than it can spare is linked with none. Any other leaves its most frequent ones, as many as
+    it can spare: of the signatures that two linked sets share, the rarest is left by neither, for each shares more of them than it can spare. So
+    passages that many texts have in common give hardly any candidates.
+    """
+    group = W.partitionBy("signature")
+    index = index.select(
+        "signature", "kind", F.col("one").alias("name"), F.lag("one").over(group.orderBy("one")).alias("last"),
+        F.min("one").over(group).alias("low"), F.max("one").over(group).alias("high"), F.count("*").over(group).alias("held"),
+    )
+    # copies of a set lie next to each other
+    shared = index.filter("low != high AND (last IS NULL OR name != last)").select("signature", "kind", "name", "held")
+    shared = written(shared, "shared")
+    rarer = F.row_number().over(W.partitionBy("name", "kind").orderBy(F.desc("held"), "signature"))
+    kept = shared.withColumn("place", rarer).filter("place > (kind & 4294967295)")
+    first = F.min("name").over(W.partitionBy("signature"))
+    # the first set of a signature is the one the others meet
+    kept = kept.select("signature", "name", first.alias("low")).filter("name != low")
+    return written(kept.select("signature", "low", "name"), "members")
+
+
 def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: DataFrame, similarity: Similarity) -> DataFrame:
     """Links across the components ``known`` between sets that share a signature, apart from each signature's first set.
 
@@ -406,9 +456,8 @@ def drop_near_copies(docs: DataFrame, similarity: Similarity = Similarity()) ->
     least = F.struct(F.col("least").isNull().alias("nameless"), "least", "n_shingles", "one", "two")
     first = classes.groupBy("component").agg(F.min(least).alias("first"))
     first = first.select(*[F.col(f"first.{name}").alias(f"first_{name}") for name in ("least", "n_shingles", "one", "two")])
-    schema = "doc_id long, n_shingles long, one long, two long"
-    schema = StructType([*StructType.fromDDL(schema).fields, StructField("row", docs.schema)])
-    rows = with_row(docs).mapInArrow(_describe(similarity.width, "row"), schema)
+    schema = StructType([*StructType.fromDDL("n_shingles long, one long, two long").fields, StructField("row", docs.schema)])
+    rows = with_row(docs).mapInArrow(_describe_rows(similarity.width), schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
     same = rows["doc_id"].eqNullSafe(first["first_least"])
     for name in ("n_shingles", "one", "two"):
         same = same & (rows[name] == first[f"first_{name}"])

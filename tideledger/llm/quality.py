@@ -214,8 +214,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The rows of ``docs`` that the classifier doesn't reject, with all their columns; each row is judged by its own text."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
-    def good(batch: pa.RecordBatch) -> np.ndarray:
-        scores = [model.value.score(own) for _, own in _texts(batch)]
+    def good(bodies: pa.Array) -> np.ndarray:
+        scores = [model.value.score(own) for _, own in _texts(pa.RecordBatch.from_arrays([bodies], names=["text"]))]
         return np.concatenate(scores) >= threshold if scores else np.zeros(0, bool)
 
     return kept_by(docs, good)
