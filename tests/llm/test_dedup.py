@@ -267,16 +267,11 @@ def test_signatures_meet(rows, numbers):
             with np.errstate(over="ignore"):
                 one, two = (ngram_join.signatures(x, similarity, rows) for x in (own, other))
                 assert len(np.intersect1d(one[0], two[0]))
-                # other sets share any of their signatures, some often; what each leaves out, the most frequent ones, spares one in common
-                held = {key: int(rng.integers(2, 50)) for key in (*one[0].tolist(), *two[0].tolist()) if rng.random() < 0.5}
-                held.update((key, int(rng.integers(2, 50))) for key in np.intersect1d(one[0], two[0]).tolist())
-                left = []
+                # each shares more signatures with the other, in one of its bands, than it can spare there
+                both, left = set(np.intersect1d(one[0], two[0]).tolist()), []
                 for keys, kinds in (one, two):
-                    rest = set()
-                    for kind in np.unique(kinds).tolist():
-                        shared = sorted((key for key in keys[kinds == kind].tolist() if key in held), key=lambda key: (-held[key], key))
-                        rest.update(shared[kind & 0xFFFFFFFF :])
-                    left.append(rest)
+                    rest = [set(keys[kinds == kind].tolist()) & both for kind in np.unique(kinds).tolist()]
+                    left.append({key for own, kind in zip(rest, np.unique(kinds).tolist(), strict=True) if len(own) > kind & 0xFFFFFFFF for key in own})
                 assert left[0] & left[1]
 
 

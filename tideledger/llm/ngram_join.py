@@ -23,6 +23,8 @@ from tideledger.llm.shingles import batches_of_sets, mixed, shingle_sets
 CHOICES = (1, 3, 4, 6, 0)
 #: Cost model: what a false candidate costs against a signature, and the chance that an unrelated set has a given shingle.
 CHECK_COST, COMMON = 50.0, 1e-5
+#: Times that sets with too few shared signatures are left out.
+ROUNDS = 2
 #: Sets that one task compares with as many others.
 BLOCK = 256
 
@@ -156,7 +158,7 @@ def _spared(own: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
     """A band's signatures of one set, and for each the band's number and how many the set can spare, as one number.
 
     A linked set differs in ``apart`` elements at most, each of which touches one part. So where every signature is a filled part,
-    all but ``apart`` of them are those of the linked set, too, and the rest of these but one can be spared.
+    all but ``apart`` of them are those of the linked set, too: a set can spare one less than these.
     """
     keys = np.unique(_signatures(own, band))
     filled = band.pieces == 1 and len(keys) <= int((np.bincount(((own >> np.uint64(33)) % np.uint64(band.parts)).astype(np.int64)) > 0).sum())
@@ -314,7 +316,7 @@ def near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataF
     1. Equal sets are one class, represented by the smallest id; classes are summed up before they are shuffled.
     2. Every set gives out its signatures; sets that share one are candidates. The signature table is sorted once, and each
        candidate meets the first set of its signature.
-       A set leaves out its most frequent signatures, as far as the pigeonhole has some to spare (``_members``).
+       Sets that share no more of them than the pigeonhole has to spare are linked with none (``_members``).
     3. Those pairs are verified on whole texts, which are fetched for candidates only, and linked sets become components.
     4. Sets of signatures that still hold several components are compared across components, in blocks, and only links that
        connect components leave a block. So every candidate pair is compared or already connected, and no group's pairs are
@@ -402,24 +404,25 @@ def _found_links(
 def _members(index: DataFrame) -> DataFrame:
     """``signature``, ``low`` (the first set that has it) and ``name`` of the others, of signatures that can tell a link.
 
-    A set that shares no more signatures than it can spare is linked with none. Any other leaves its most frequent ones, as many as
-    it can spare: of the signatures that two linked sets share, the rarest is left by neither, for each shares more of them than it can spare. So
-    passages that many texts have in common give hardly any candidates.
+    A set that shares no more signatures than it can spare is linked with none, and goes. What it shared may then be left to one set
+    alone, so this is done ``ROUNDS`` times. So passages that many texts have in common give hardly any candidates, while sets that
+    share much keep all their signatures, the frequent ones by which a large group meets its first set.
     """
     group = W.partitionBy("signature")
     index = index.select(
         "signature", "kind", F.col("one").alias("name"), F.lag("one").over(group.orderBy("one")).alias("last"),
-        F.min("one").over(group).alias("low"), F.max("one").over(group).alias("high"), F.count("*").over(group).alias("held"),
+        F.min("one").over(group).alias("low"), F.max("one").over(group).alias("high"),
     )
     # copies of a set lie next to each other
-    shared = index.filter("low != high AND (last IS NULL OR name != last)").select("signature", "kind", "name", "held")
+    shared = index.filter("low != high AND (last IS NULL OR name != last)").select("signature", "kind", "name")
     shared = written(shared, "shared")
-    rarer = F.row_number().over(W.partitionBy("name", "kind").orderBy(F.desc("held"), "signature"))
-    kept = shared.withColumn("place", rarer).filter("place > (kind & 4294967295)")
-    first = F.min("name").over(W.partitionBy("signature"))
+    for _ in range(ROUNDS):
+        enough = shared.groupBy("name", "kind").agg(F.count("*").alias("held")).filter("held > (kind & 4294967295)")
+        shared = shared.join(enough.select("name", "kind"), ["name", "kind"])
+        both = [F.min("name").over(group).alias("low"), F.max("name").over(group).alias("high")]
+        shared = written(shared.select("signature", "kind", "name", *both).filter("low != high"), "shared")
     # the first set of a signature is the one the others meet
-    kept = kept.select("signature", "name", first.alias("low")).filter("name != low")
-    return written(kept.select("signature", "low", "name"), "members")
+    return shared.select("signature", "low", "name").filter("name != low")
 
 
 def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: DataFrame, similarity: Similarity) -> DataFrame:
