@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.01"
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "n-gram jaccard join", "benchmark decontamination", "best-fit packing"
     ]
