@@ -64,6 +64,22 @@ def test_batches_go_on_over_triggers(spark):
     assert {r.id: r.batch_id for r in got.collect()} == {r.id: r.batch_id for r in want.collect()}
 
 
+def test_batches_in_a_session_with_other_settings(spark):
+    """A stream keeps its state in RocksDB where the session names another store; the session's own setting comes back."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before, other = spark.conf.get(provider), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    folder, out = new_path(spark, "in"), new_path(spark, "out")
+    spark.conf.set(provider, other)
+    try:
+        land(spark, folder, rows(0, 23))
+        got = run(spark, SL.batch_stream(SF.watch_files(spark, folder, SCHEMA, "parquet"), ["source", "asset"], "date", "id", 4, 5), out)
+        assert spark.conf.get(provider) == other
+    finally:
+        spark.conf.set(provider, before)
+    want = batch_transfers(spark.createDataFrame(rows(0, 23), SCHEMA), ["source", "asset"], "date", "id", 4, 5)
+    assert {r.id: r.batch_id for r in got.collect()} == {r.id: r.batch_id for r in want.collect()}
+
+
 def test_late_rows_have_no_batch(spark):
     folder, out = new_path(spark, "in"), new_path(spark, "out")
     for part in (rows(40, 13), rows(0, 3)):
