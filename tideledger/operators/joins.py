@@ -2,7 +2,8 @@
 
 No size is assumed for a dimension: Catalyst broadcasts one that its statistics
 (or, at run time, adaptive execution) show to be small, and shuffles it otherwise.
-Skewed fact keys are split by the adaptive skew join.
+One that is derived from a large table has no small statistics; ``sized`` gives it
+its own, so that wide facts are not shuffled before its size is known. Skewed fact keys are split by the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -15,6 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions.amounts import col
 from ..functions.buckets import epoch_bucket
+from ..session import cut_lineage
+
+
+def sized(dim: DataFrame) -> DataFrame:
+    """``dim`` stored in the shared folder: its size is known when a join is planned, so facts stay where they are if it is small."""
+    return cut_lineage(dim)
 
 
 def lookup(
@@ -83,11 +90,11 @@ def price_book_roles(
     """Add prices of several symbols at one time by one equi join: new name -> symbol.
 
     The right side has one row for each ``unit``, its book (symbol -> price), so that ``df`` is shuffled once at most, whatever the
-    number of roles. Meant for some dozens of symbols, as price groups are; of several prices of one symbol the smallest is taken.
+    number of roles, and not at all if the books are small (``sized``). Meant for some dozens of symbols, as price groups are; of several prices of one symbol the smallest is taken.
     """
     once = prices.where(F.col(symbol).isNotNull()).groupBy(F.col(at).alias("__at"), F.col(symbol).alias("__s")).agg(F.min(price).alias("__p"))
     books = once.groupBy("__at").agg(F.map_from_entries(F.collect_list(F.struct("__s", "__p"))).alias("__book"))
-    df = df.withColumn("__at", F.date_trunc(unit, col(ts))).join(books, "__at", "left")
+    df = df.withColumn("__at", F.date_trunc(unit, col(ts))).join(sized(books), "__at", "left")
     return df.withColumns({name: F.try_element_at("__book", col(s)) for name, s in roles.items()}).drop("__at", "__book")
 
 
@@ -122,16 +129,17 @@ def price_at_or_before(
 
     The ordered step sees one row per (key, bucket), never the facts: a key has
     at most 17,568 half-hour buckets a year however many rows it holds. Facts
-    then take the result through an equi join. Without a tick the price is null.
+    then take the result of the buckets they have through an equi join. Without
+    a tick the price is null.
     """
     facts = facts.withColumn("__bucket", epoch_bucket(fact_ts, bucket_seconds))
-    quoted = ticks.select(key, epoch_bucket(tick_ts, bucket_seconds).alias("__bucket"), F.col(price).alias("__price"))
-    asked = facts.select(key, "__bucket").distinct().withColumn("__price", F.lit(None).cast("double"))
-    marks = quoted.unionByName(asked).groupBy(key, "__bucket").agg(F.max("__price").alias("__price"))
+    quoted = ticks.select(key, epoch_bucket(tick_ts, bucket_seconds).alias("__bucket"), F.col(price).alias("__price"), F.lit(False).alias("__asked"))
+    asked = facts.select(key, "__bucket").distinct().withColumns({"__price": F.lit(None).cast("double"), "__asked": F.lit(True)})
+    marks = quoted.unionByName(asked).groupBy(key, "__bucket").agg(F.max("__price").alias("__price"), F.max("__asked").alias("__asked"))
     filled = marks.selectExpr(
-        key, "__bucket", f"last(__price, true) OVER (PARTITION BY {key} ORDER BY __bucket) AS `{out}`"
+        key, "__bucket", f"last(__price, true) OVER (PARTITION BY {key} ORDER BY __bucket) AS `{out}`", "__asked"
     )
-    return facts.join(filled, [key, "__bucket"], "left").drop("__bucket")
+    return facts.join(sized(filled.where("__asked").drop("__asked")), [key, "__bucket"], "left").drop("__bucket")
 
 
 def keep_where_in(df: DataFrame, allowed: DataFrame, on: Sequence[str]) -> DataFrame:

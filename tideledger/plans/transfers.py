@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..functions.addresses import is_zero
 from ..functions.amounts import lossy_double, ratio, scaled
 from ..functions.buckets import usd_range, week_parts
 from ..functions.labels import asset_group, mapped, price_group
-from ..operators.joins import either_key_lookup, lookup, price_at_or_before, price_book_roles, price_roles
+from ..operators.joins import either_key_lookup, lookup, price_at_or_before, price_book_roles, price_roles, sized
 
 # fixed values: domain id -> chain name
 DOMAIN_CHAINS = {
@@ -164,7 +166,7 @@ def transfers_usd_hourly(
         F.avg("average_price").alias("price")
     )
     rows = rows.withColumn("xcall_date", F.timestamp_seconds("xcall_timestamp"))
-    rows = price_roles(rows, prices, {"price": ("destination_asset", "xcall_date")})
+    rows = price_roles(rows, sized(prices), {"price": ("destination_asset", "xcall_date")})
     author = F.col("contract_author")
     bridged_next = F.col("origin_asset").startswith("next") | F.col("destination_asset").startswith("next")
     rows = rows.withColumns(
@@ -301,17 +303,20 @@ def deposit_users(*lists: tuple[DataFrame, str, str, str | None]) -> DataFrame:
     A chain, given or in the list's ``origin_chain``, is a spelling or a domain id; it gets the name that fee reports use for
     that domain. Others stay as they are.
     """
-    out = None
-    for df, hash_column, user, chain in lists:
+    parts = []
+    for number, (df, hash_column, user, chain) in enumerate(lists):
         given = (df.withColumn("origin_chain", F.lit(chain)) if chain else df).withColumn(
             "__domain", mapped(F.lower("origin_chain"), DEPOSIT_DOMAINS, F.col("origin_chain"))
         )
-        part = given.select(
-            F.col(hash_column).alias("hash"), F.lower(user).alias("user_address"),
-            mapped("__domain", FEE_CHAINS, F.col("__domain")).alias("origin_chain"),
-        ).distinct()
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(
+            given.select(
+                F.lit(number).alias("__list"), F.col(hash_column).alias("hash"), F.lower(user).alias("user_address"),
+                mapped("__domain", FEE_CHAINS, F.col("__domain")).alias("origin_chain"),
+            )
+        )
+    # dealt out as the lookup needs them, so that one shuffle serves both; distinct in each list
+    both = reduce(lambda a, b: a.unionByName(b), parts).repartition("hash", "origin_chain")
+    return both.distinct().drop("__list")
 
 
 def transfer_fees(transfers: DataFrame, assets: DataFrame, tokens: DataFrame, prices: DataFrame) -> DataFrame:
@@ -375,7 +380,7 @@ def fee_rebate(fees: DataFrame, deposits: DataFrame, reward_prices: DataFrame) -
         fees, deposits, {"xcall_transaction_hash": "hash", "origin_chain": "origin_chain"}, {"user_address": "user_address"}
     )
     hour = reward_prices.groupBy(F.date_trunc("hour", "date").alias("__hour")).agg(F.avg("price").alias("price"))
-    rows = rows.withColumn("__hour", F.date_trunc("hour", "date")).join(hour, "__hour", "left").drop("__hour")
+    rows = rows.withColumn("__hour", F.date_trunc("hour", "date")).join(sized(hour), "__hour", "left").drop("__hour")
     total = F.lit(0.0)
     for k in FEES:
         total = total + F.coalesce(F.col(f"usd_{k}_amount"), F.lit(0.0))
