@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import cut_lineage
+
 TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -119,6 +121,12 @@ def view(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame
     return known[name]
 
 
+def stored(spark: SparkSession, sf_dir: str, names: list[str], known: dict[str, DataFrame]) -> None:
+    """Views that a query reads several times, joined once and written to the shared folder; ``known`` gets the written ones."""
+    for name in names:
+        known[name] = cut_lineage(view(spark, sf_dir, name, known))
+
+
 def duck(body: str) -> str:
     """``body`` with its views put in front as common table expressions."""
     order: list[str] = []

@@ -24,6 +24,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return fixtures.view(self.spark, self.sf_dir, name, self.known)
 
+    def store(self, *names: str) -> None:
+        """Write these views once; later views of this query read the written rows."""
+        fixtures.stored(self.spark, self.sf_dir, list(names), self.known)
+
 
 def rounded(df: DataFrame, places: int) -> DataFrame:
     """Doubles to ``places`` decimals and narrow integers to bigint, for comparison across engines.

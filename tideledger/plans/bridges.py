@@ -20,7 +20,7 @@ from ..functions.labels import (
     harmonised_chain,
     mapped,
 )
-from ..operators.joins import lookup, lookup_roles, price_roles
+from ..operators.joins import lookup, lookup_roles, price_roles, sized
 from ..operators.ordered import row_id, with_row_number
 from ..operators.windows import extreme_with_ties, latest_per_key
 from ..sources.schemas import CANONICAL_COLUMNS, CANONICAL_TYPES
@@ -70,7 +70,7 @@ def _chain_names(df: DataFrame, chains: DataFrame) -> DataFrame:
 
 def stage_across(v3: DataFrame, v2: DataFrame, metadata: DataFrame) -> DataFrame:
     """Both protocol versions in token units; the relay fee is what arrives short."""
-    tokens = first_addresses(metadata).select("symbol", "contract_address", "decimals").distinct()
+    tokens = sized(first_addresses(metadata).select("symbol", "contract_address", "decimals").distinct())
 
     def version(df: DataFrame, bridge: str, sent: str, received: Column, gas: Column) -> DataFrame:
         df = _with_symbols(df, tokens)
@@ -118,13 +118,8 @@ def stage_across(v3: DataFrame, v2: DataFrame, metadata: DataFrame) -> DataFrame
 
 
 def stage_allbridge(raw: DataFrame, tokens: DataFrame, chains: DataFrame, denied: Sequence[str] = ALLBRIDGE_DENIED) -> DataFrame:
-    """Chain codes to ids and native tokens; token addresses match in any case."""
-    rows = (
-        raw.drop("api_url")
-        .where((A.lossy_double("from_amount") > 0) & (A.lossy_double("to_amount") > 0))
-        .where(~F.col("id").isin(*denied))
-        .distinct()
-    )
+    """Chain codes to ids and native tokens; token addresses match in any case. Equal rows count once, of what is returned."""
+    rows = raw.where((A.lossy_double("from_amount") > 0) & (A.lossy_double("to_amount") > 0)).where(~F.col("id").isin(*denied))
     for side in ("from", "to"):
         rows = lookup(
             rows, tokens, {f"{side}_token_address": "token_address", f"{side}_chain_symbol": "blockchain"},
@@ -187,7 +182,7 @@ def stage_debridge(raw: DataFrame, metadata: DataFrame, chains: DataFrame) -> Da
         A.lossy_double("fixfee_bigintegervalue").alias("gas_value"),
         A.lossy_double("finalpercentfee_bigintegervalue").alias("fee_value"),
     )
-    tokens = chain_tokens(first_addresses(metadata), chains).select("chain_id", "symbol", "decimals").distinct()
+    tokens = sized(chain_tokens(first_addresses(metadata), chains).select("chain_id", "symbol", "decimals").distinct())
     rows = lookup(
         semi.distinct(), chains, {"give_chain_id": "chain_id"},
         {"name": "from_chain_name", "fee_token_symbol": "gas_token_symbol", "fee_token_decimal": "gas_decimals"},
@@ -263,7 +258,7 @@ def stage_hop(raw: DataFrame, chains: DataFrame, denied: Sequence[str] = HOP_DEN
 
 def stage_stargate(raw: DataFrame, metadata: DataFrame, chains: DataFrame, default_decimals: int = 18) -> DataFrame:
     """Same token on both sides; a token without metadata has ``default_decimals``."""
-    tokens = chain_tokens(metadata, chains).select("chain_id", "symbol", "decimals").distinct()
+    tokens = sized(chain_tokens(metadata, chains).select("chain_id", "symbol", "decimals").distinct())
     rows = raw.withColumns(
         {f"{side}_chain_id": mapped(f"{side}_chain_name", CHAIN_NAME_IDS).cast("bigint") for side in ("from", "to")}
     )
@@ -352,7 +347,7 @@ def stage_synapse(raw: DataFrame, metadata: DataFrame, chains: DataFrame) -> Dat
         raw.where(moved), ["kappa"],
         F.col("from_time").desc(), F.col("to_time").desc(), F.col("from_hash"), F.col("to_hash"), F.col("to_value"),
     )
-    tokens = chain_tokens(first_addresses(metadata), chains).distinct()
+    tokens = sized(chain_tokens(first_addresses(metadata), chains).distinct())
     for side in ("from", "to"):
         latest = lookup(
             latest, tokens, {f"{side}_token_address": "contract_address", f"{side}_chain_id": "chain_id"},
@@ -511,47 +506,45 @@ def bridge_legs(max_loss: float = 0.8) -> dict[str, Legs]:
     }
 
 
-def token_prices(aliases: DataFrame, prices: DataFrame) -> DataFrame:
-    """Hourly prices by the token's own symbol: ``token``, ``hour``, ``price``."""
-    known = aliases.groupBy("token_symbol").agg(F.min("price_symbol").alias("symbol"))
-    return prices.join(known, "symbol").select(F.col("token_symbol").alias("token"), F.col("date").alias("hour"), "price")
+def price_books(aliases: DataFrame, prices: DataFrame) -> DataFrame:
+    """Hourly prices by the token's own symbol: one row for each ``hour`` with its ``book`` (token -> price). The highest of several prices."""
+    known = aliases.where(F.col("token_symbol").isNotNull()).groupBy("token_symbol").agg(F.min("price_symbol").alias("symbol"))
+    once = prices.join(known, "symbol").groupBy(F.col("date").alias("hour"), "token_symbol").agg(F.max("price").alias("price"))
+    return once.groupBy("hour").agg(F.map_from_entries(F.collect_list(F.struct("token_symbol", "price"))).alias("book"))
 
 
-def _unpriced(label: str, staged: DataFrame, own: Legs) -> DataFrame:
-    """Canonical rows without USD values, and their legs."""
+def _valued(label: str, staged: DataFrame, own: Legs, books: DataFrame) -> DataFrame:
+    """Canonical rows without own USD values, and the value of each leg."""
     rows = staged.fillna(0.0, subset=list(own.zeros)) if own.zeros else staged
-    leg = "struct<role:string,token:string,hour:timestamp,amount:double>"
-    legs = [F.struct(F.lit(role), F.col(token), F.date_trunc("hour", time), F.col(amount)).cast(leg) for role, (token, time, amount) in own.legs.items()]
     extra = {
         "label": F.lit(label),
         "interim_symbol": F.col("interim_symbol") if "interim" in own.legs else A.typed_null("string"),
         "interim_amount": F.col("interim_amount") if "interim" in own.legs else A.typed_null("double"),
-        "legs": F.array(*legs) if legs else F.array(F.lit(None).cast(leg)),
     }
     given = {**dict.fromkeys(USD), **own.columns, **own.reported}
-    return rows.select(*canonical_cells(rows, **given), *[v.alias(c) for c, v in extra.items()])
+    hours = {time: f"__hour_{time}" for _, time, _ in own.legs.values()}
+    legs = {role: F.struct(F.col(token).alias("token"), F.col(amount).cast("double").alias("amount")) for role, (token, _, amount) in own.legs.items()}
+    rows = rows.select(
+        *canonical_cells(rows, **given), *[v.alias(c) for c, v in extra.items()],
+        *[F.date_trunc("hour", time).alias(name) for time, name in hours.items()], *[leg.alias(f"__leg_{role}") for role, leg in legs.items()],
+    )
+    for time, name in hours.items():
+        roles = [role for role, leg in own.legs.items() if leg[1] == time]
+        rows = rows.join(books.withColumnRenamed("hour", name), name, "left")
+        worth = {f"v_{role}": F.col(f"__leg_{role}.amount") * F.try_element_at("book", F.col(f"__leg_{role}.token")) for role in roles}
+        rows = rows.withColumns(worth).drop("book", name, *[f"__leg_{role}" for role in roles])
+    return rows.withColumns({f"v_{role}": A.typed_null("double") for role in ROLES if role not in own.legs})
 
 
 def clean_all(staged: Mapping[str, DataFrame], aliases: DataFrame, prices: DataFrame, max_loss: float = 0.8) -> DataFrame:
-    """Canonical rows of several bridges (``label``, then the canonical columns), priced by one equi join.
+    """Canonical rows of several bridges (``label``, then the canonical columns), priced by one equi join for each time a bridge has.
 
-    A row becomes one leg for each amount to be valued, and the first leg carries the row. The legs of all bridges meet the prices
-    by (token, hour) and fold back by a hash of the row. So a row is shuffled twice at most, however many prices it needs; rows
-    that are equal in all columns are valued once and counted.
+    All legs of one hour are valued from the hour's book of prices, so rows are not copied and not folded back. Books are stored first:
+    small ones are broadcast and the rows stay where they are; with large ones a row is shuffled once for each of its times.
     """
     own = {label: bridge_legs(max_loss)[label] for label in staged}
-    rows = reduce(lambda a, b: a.unionByName(b), [_unpriced(label, df, own[label]) for label, df in staged.items()])
-    carried = [c for c in rows.columns if c != "legs"]
-    keyed = rows.select(
-        F.xxhash64("legs", *carried).alias("k1"), F.xxhash64(F.lit(1), *carried, "legs").alias("k2"), F.struct(*carried).alias("row"), "legs"
-    )
-    legs = keyed.select("k1", "k2", "row", F.posexplode("legs").alias("place", "leg"))
-    legs = legs.where("place = 0 OR leg.token IS NOT NULL AND leg.amount IS NOT NULL")
-    legs = legs.select("k1", "k2", F.when(F.col("place") == 0, F.col("row")).alias("row"), "leg.*")
-    valued = legs.join(token_prices(aliases, prices), ["token", "hour"], "left")
-    worth = [F.max(F.when(F.col("role") == role, F.col("amount") * F.col("price"))).alias(f"v_{role}") for role in ROLES]
-    folded = valued.groupBy("k1", "k2").agg(F.first("row", ignorenulls=True).alias("row"), F.count("row").alias("copies"), *worth)
-    folded = folded.select("row.*", *[f"v_{role}" for role in ROLES], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    books = sized(price_books(aliases, prices))
+    folded = reduce(lambda a, b: a.unionByName(b), [_valued(label, df, own[label], books) for label, df in staged.items()])
 
     def listed(flag: str) -> Column:
         return F.col("label").isin([label for label in own if getattr(own[label], flag)])
