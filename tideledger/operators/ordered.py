@@ -7,6 +7,7 @@ into range partitions of similar size and carry totals between them.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,6 +112,32 @@ def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", d
     return null_safe_join(df, value_ranks(df, keys, value, name, descending), [*keys, value])
 
 
+def ranked_rows(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", descending: bool = True, distinct: bool = False) -> DataFrame:
+    """``ranked``, for rows of which a level (16 for each doubling of the value) of one key fits a task: the rows are shuffled once.
+
+    Rows are dealt by key and level and ranked where they lie; a key's levels, counted there, give the rows before a level.
+    ``distinct`` first drops copies, which lie together. Many rows of one key with one value are for ``ranked``.
+    """
+    number = F.col(value).cast("double")
+    size = F.least(F.abs(number), F.lit(sys.float_info.max))
+    level = F.when(F.isnan(number), 2**15).otherwise(F.signum(number) * F.rint(16 * F.log2(1 + size))).cast("int")
+    rest = [c for c in df.columns if c not in keys]
+    # one column without nulls, so that the shuffle serves the join, too
+    dealt = df.select(F.struct(*keys, level.alias("__level")).alias("__g"), *rest).repartition("__g")
+    dealt = dealt.distinct() if distinct else dealt
+
+    def order(c: Column) -> Column:
+        return c.desc() if descending else c.asc()
+
+    counts = dealt.groupBy("__g").agg(F.count(F.lit(1)).alias("__m"))
+    earlier = Window.partitionBy(*[F.col("__g")[k] for k in keys]).orderBy(order(F.col("__g")["__level"]))
+    before = F.coalesce(F.sum("__m").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col("__g").alias("__h"), before.alias("__before"))
+    placed = dealt.withColumn("__inside", F.rank().over(Window.partitionBy("__g").orderBy(order(F.col(value)))))
+    placed = placed.join(offsets, F.col("__g") == F.col("__h"))
+    return placed.select(*[F.col("__g")[c].alias(c) if c in keys else F.col(c) for c in df.columns], (F.col("__before") + F.col("__inside")).alias(name))
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     renamed = right.select(
         *[F.col(c).alias(f"__r_{c}") for c in on], *[F.col(c) for c in right.columns if c not in on]

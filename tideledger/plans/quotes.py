@@ -12,8 +12,9 @@ from ..functions import jsontext as J
 from ..functions.amounts import lossy_double, nearest_power_of_ten, snapped_notional
 from ..functions.labels import chain_display_name
 from ..operators.joins import grid, lookup
-from ..operators.ordered import null_safe_join, ranked, ranks_of_counts
+from ..operators.ordered import ranked_rows
 from ..operators.windows import at_latest, top_dense
+from ..session import cut_lineage
 
 PATHWAY = ["from_chain", "to_chain", "from_token", "to_token"]
 
@@ -70,16 +71,21 @@ def routes_from_quotes(quotes: DataFrame, source: str) -> DataFrame:
 
 def distinct_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
     """Distinct quotes of each source, under one another."""
-    kept = [df.drop("total_user_tx") for df in sources]
+    return _numbered(sources, since).distinct().drop("__source")
+
+
+def _numbered(sources: Sequence[DataFrame], since: str | None) -> DataFrame:
+    """All quotes, with the number of their source."""
+    kept = [df.drop("total_user_tx").withColumn("__source", F.lit(number)) for number, df in enumerate(sources)]
     if since:
         kept = [df.where(F.col("date") >= F.lit(since).cast("timestamp")) for df in kept]
-    return reduce(lambda a, b: a.unionByName(b), [df.distinct() for df in kept])
+    return reduce(lambda a, b: a.unionByName(b), kept)
 
 
 def clean_quotes(*sources: DataFrame, since: str | None = None) -> DataFrame:
     """Distinct quotes of each source, ranked by what arrives per time and pathway."""
-    rows = distinct_quotes(*sources, since=since)
-    return ranked(rows, ["date", *PATHWAY], "final_out_amount", "max_value_rank_by_output")
+    rows = _numbered(sources, since)
+    return ranked_rows(rows, ["date", *PATHWAY], "final_out_amount", "max_value_rank_by_output", distinct=True).drop("__source")
 
 
 def rank_bridges(quotes: DataFrame, keep: int = 2) -> DataFrame:
@@ -110,13 +116,12 @@ def best_route_vs_tracked(quotes: DataFrame, tracked: Column) -> DataFrame:
     ``tracked`` is a condition on the quote's bridges.
     """
     group, value, rank = ["date", "aggregator", *PATHWAY], "final_out_amount", "max_value_rank_by_output"
-    # ranks of distinct values; rows take those they need: the best of all, and the tracked bridge's
-    counts = quotes.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"), F.max(F.coalesce(tracked, F.lit(False))).alias("__tracked"))
-    ranks = ranks_of_counts(counts, group, value, rank)
-    best = null_safe_join(quotes, ranks.where(F.col(rank) == 1).drop("__tracked"), [*group, value])
-    placed = null_safe_join(quotes.where(tracked), ranks.where("__tracked").drop("__tracked"), [*group, value])
+    placed = ranked_rows(quotes, group, value, rank).where((F.col(rank) == 1) | tracked)
+    # read for both sides, ranked once
+    placed = cut_lineage(placed)
+    best = placed.where(F.col(rank) == 1)
     same = ["date", *PATHWAY, "in_value_usd"]
-    own = placed.select(*same, *[F.col(c).alias(f"tracked_{c}") for c in ("out_value_usd", "gas_fee", value, rank)])
+    own = placed.where(tracked).select(*same, *[F.col(c).alias(f"tracked_{c}") for c in ("out_value_usd", "gas_fee", value, rank)])
     return best.join(own, same, "left")
 
 
@@ -247,9 +252,12 @@ def skipped_pathways(configured: DataFrame, working: DataFrame, names: DataFrame
 
 
 def calculated_pathways(routes: DataFrame, configured: DataFrame) -> DataFrame:
-    """Every configured pathway with its served amounts, null where there is none."""
+    """Every configured pathway with its served amounts, null where there is none.
+
+    Both sides are distinct before they meet, so a pathway gives a row for each of its amounts, not for each pair of its rows.
+    """
     amount = nearest_power_of_ten(F.nullif(lossy_double("from_amount"), F.lit(0.0))).alias("nearest_power_of_ten_amount")
-    return configured.select(*ENDS).join(routes.select(*ENDS, amount), ENDS, "left").distinct()
+    return configured.select(*ENDS).distinct().join(routes.select(*ENDS, amount).distinct(), ENDS, "left").distinct()
 
 
 # --- registries -------------------------------------------------------------------
