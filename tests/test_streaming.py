@@ -80,6 +80,13 @@ def test_batches_in_a_session_with_other_settings(spark):
     assert {r.id: r.batch_id for r in got.collect()} == {r.id: r.batch_id for r in want.collect()}
 
 
+def test_rows_without_a_time_have_no_batch(spark):
+    folder, out = new_path(spark, "in"), new_path(spark, "out")
+    land(spark, folder, rows(0, 3) + [(9, None, "c0", "c1", "A", 1.0), (10, None, "c9", "c1", None, 1.0)])
+    got = run(spark, SL.batch_stream(SF.watch_files(spark, folder, SCHEMA, "parquet"), ["source", "asset"], "date", "id", 4, 5), out)
+    assert {r.id: r.batch_id for r in got.collect()} == {0: 1, 1: 1, 2: 1, 9: None, 10: None}
+
+
 def test_late_rows_have_no_batch(spark):
     folder, out = new_path(spark, "in"), new_path(spark, "out")
     for part in (rows(40, 13), rows(0, 3)):

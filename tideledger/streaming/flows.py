@@ -50,6 +50,12 @@ class _OpenBatch(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values([self.ts, self.tie_breaker], kind="stable", ignore_index=True)
+        timeless = pdf[self.ts].isna()
+        if timeless.any():
+            yield pdf[timeless].assign(batch_id=pd.array([None] * int(timeless.sum()), dtype="Int64"))
+            pdf = pdf[~timeless].reset_index(drop=True)
+            if pdf.empty:
+                return
         times = pdf[self.ts].astype("datetime64[us]").astype("int64").to_numpy()
         if self.state.exists():
             start, held, number, latest = self.state.get()
@@ -87,7 +93,7 @@ def batch_stream(
 
     The state is the open batch (first time, rows and number) and the latest time seen, in RocksDB. Rows are ordered by time inside a
     trigger; batches are found by jumps, one step for each batch. A row older than the rows of earlier triggers belongs to a batch that
-    is closed: it passes with a null ``batch_id``. A task holds a trigger's rows of one key, which the source's ``max_files`` bounds.
+    is closed: it passes with a null ``batch_id``, as does a row without a time. A task holds a trigger's rows of one key, which the source's ``max_files`` bounds.
 
     With ``idle_hours`` the state of a key without rows for as long (by the clock) expires. When the key comes back a new batch
     begins, and its numbers, which then go on from the first row's time in microseconds, stay unique. Spark runs such a query's
