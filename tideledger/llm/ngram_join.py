@@ -5,16 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tideledger.llm.common import ROWS_AT_ONCE, IdMap, row_texts, texts, with_row, written
+from tideledger.llm.common import ROWS_AT_ONCE, IdMap, marked_rows, row_texts, texts, written
 from tideledger.llm.components import components
 from tideledger.llm.shingles import batches_of_sets, mixed, shingle_sets
 
@@ -25,6 +25,8 @@ CHOICES = (1, 3, 4, 6, 0)
 CHECK_COST, COMMON = 50.0, 1e-5
 #: Times that sets with too few shared signatures are left out.
 ROUNDS = 2
+#: Signatures are sorted in so many turns, each with its own share of them, so that a turn's shuffle files are gone before the next.
+TURNS = 2
 #: Sets that one task compares with as many others.
 BLOCK = 256
 
@@ -157,12 +159,19 @@ def signatures(own: np.ndarray, similarity: Similarity, rows: int) -> tuple[np.n
 def _spared(own: np.ndarray, band: Band) -> tuple[np.ndarray, np.ndarray]:
     """A band's signatures of one set, and for each the band's number and how many the set can spare, as one number.
 
-    A linked set differs in ``apart`` elements at most, each of which touches one part. So where every signature is a filled part,
-    all but ``apart`` of them are those of the linked set, too: a set can spare one less than these.
+    A linked set differs in ``apart`` elements at most, each of which touches one part. A filled part without a difference shares its
+    one signature or, where pieces or elements are left out, two at least; there a part with a single difference shares one still. So
+    all but ``apart`` of the filled parts' signatures, counted once or twice, are those of the linked set, too: a set can spare one less.
     """
     keys = np.unique(_signatures(own, band))
-    filled = band.pieces == 1 and len(keys) <= int((np.bincount(((own >> np.uint64(33)) % np.uint64(band.parts)).astype(np.int64)) > 0).sum())
-    spare = max(0, len(keys) - band.apart - 1) if filled else 0
+    part = ((own >> np.uint64(33)) % np.uint64(band.parts)).astype(np.int64)
+    if band.pieces > 1:
+        piece = ((own >> np.uint64(13)) % np.uint64(band.pieces)).astype(np.int64)
+        held = np.bincount(part * band.pieces + piece, minlength=band.parts * band.pieces).reshape(-1, band.pieces)
+        filled = int(((held > 0).sum(1) > 1).sum())
+    else:
+        filled = int((np.bincount(part) > (band.pieces == 0)).sum())
+    spare = max(0, filled * (1 if band.pieces == 1 else 2) - band.apart - 1)
     return keys, np.full(len(keys), band.number << 32 | spare, np.int64)
 
 
@@ -204,12 +213,16 @@ def _describe_rows(width: int):
     return run
 
 
-def _index(similarity: Similarity, rows: int):
+def _index(similarity: Similarity, rows: int, turn: int = 0, turns: int = 1):
+    """Signatures of sets, those that fall to one of so many turns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for _, sets in batches_of_sets(batches, similarity.width):
                 named = {set_number(own): own for own in sets if len(own)}
                 found = [signatures(own, similarity, rows) for own in named.values()]
+                taken = [keys % np.uint64(turns) == turn for keys, _ in found]
+                found = [(keys[own], kinds[own]) for (keys, kinds), own in zip(found, taken, strict=True)]
                 sizes = [len(keys) for keys, _ in found]
                 keys = np.concatenate([np.zeros(0, np.uint64), *(keys for keys, _ in found)])
                 kinds = np.concatenate([np.zeros(0, np.int64), *(kinds for _, kinds in found)])
@@ -388,7 +401,8 @@ def _found_links(
     rows: DataFrame, sized: DataFrame, classes: DataFrame, repeated: DataFrame | None, similarity: Similarity
 ) -> DataFrame | None:
     """Links between representatives, enough to connect every component; None where no two sets share a signature."""
-    members = _members(rows.mapInArrow(_index(similarity, sized.count()), "signature long, one long, kind long"))
+    count, schema = sized.count(), "signature long, one long, kind long"
+    members = _members([rows.mapInArrow(_index(similarity, count, turn, TURNS), schema) for turn in range(TURNS)])
     pairs = members.select("low", "name").distinct()
     wanted = members.select(F.col("name").alias("one")).unionAll(members.select(F.col("low").alias("one"))).distinct()
     found = classes.join(wanted, "one", "left_semi").select("n_shingles", "one", "two", "rep", "odd")
@@ -401,35 +415,41 @@ def _found_links(
     return first.unionAll(written(_compared(members, found, bodies, components(first, 2), similarity), "links"))
 
 
-def _members(index: DataFrame) -> DataFrame:
-    """``signature``, ``low`` (the first set that has it) and ``name`` of the others, of signatures that can tell a link.
+def _members(indexes: list[DataFrame]) -> DataFrame:
+    """``signature``, ``kind``, ``low`` (the first set that has it) and ``name`` of the others, of signatures that can tell a link.
+
+    ``indexes`` have every signature of their own; only those that several sets share are written, one index after the other.
 
     A set that shares no more signatures than it can spare is linked with none, and goes. What it shared may then be left to one set
     alone, so this is done ``ROUNDS`` times. So passages that many texts have in common give hardly any candidates, while sets that
     share much keep all their signatures, the frequent ones by which a large group meets its first set.
     """
     group = W.partitionBy("signature")
-    index = index.select(
-        "signature", "kind", F.col("one").alias("name"), F.lag("one").over(group.orderBy("one")).alias("last"),
-        F.min("one").over(group).alias("low"), F.max("one").over(group).alias("high"),
-    )
-    # copies of a set lie next to each other
-    shared = index.filter("low != high AND (last IS NULL OR name != last)").select("signature", "kind", "name")
-    shared = written(shared, "shared")
+
+    def found(index: DataFrame) -> DataFrame:
+        index = index.select(
+            "signature", "kind", F.col("one").alias("name"), F.lag("one").over(group.orderBy("one")).alias("last"),
+            F.min("one").over(group).alias("low"), F.max("one").over(group).alias("high"),
+        )
+        # copies of a set lie next to each other
+        return index.filter("low != high AND (last IS NULL OR name != last)").select("signature", "kind", "name")
+
+    shared = reduce(DataFrame.unionAll, [written(found(index), "shared") for index in indexes])
     for _ in range(ROUNDS):
         enough = shared.groupBy("name", "kind").agg(F.count("*").alias("held")).filter("held > (kind & 4294967295)")
         shared = shared.join(enough.select("name", "kind"), ["name", "kind"])
         both = [F.min("name").over(group).alias("low"), F.max("name").over(group).alias("high")]
         shared = written(shared.select("signature", "kind", "name", *both).filter("low != high"), "shared")
     # the first set of a signature is the one the others meet
-    return shared.select("signature", "low", "name").filter("name != low")
+    return shared.select("signature", "kind", "low", "name").filter("name != low")
 
 
 def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: DataFrame, similarity: Similarity) -> DataFrame:
     """Links across the components ``known`` between sets that share a signature, apart from each signature's first set.
 
     Sets go into blocks with others that met the same first set; a block is compared with itself and with every block that it
-    shares an open signature with. So a text is sent once for each such pair of blocks, however many signatures two sets share.
+    shares an open signature with. Blocks are compared by their sets' signatures first, so only texts of sets that share more of them
+    with some set than either can spare are sent, each once for such a pair of blocks.
     """
     belongs = found.join(known, found["rep"] == known["node"], "left")
     belongs = belongs.select(F.col("one").alias("name"), F.col("rep").alias("doc_id"), F.coalesce("component", "rep").alias("component"))
@@ -440,29 +460,56 @@ def _compared(members: DataFrame, found: DataFrame, bodies: DataFrame, known: Da
     blocks = met.groupBy("first").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = met.join(blocks, "first").withColumn("block", F.xxhash64("first", F.pmod(F.hash("name", "doc_id"), "blocks")))
     dealt = written(dealt.select("name", "doc_id", "component", "block"), "blocks")
-    there = placed.join(dealt, ["name", "doc_id"]).select("signature", "block").distinct()
-    there = written(there, "shared")
+    there = placed.select("signature", "name", "doc_id", "kind").join(dealt, ["name", "doc_id"])
+    held = there.groupBy("block", "doc_id", "component", "kind").agg(F.collect_list(F.hash("signature")).alias("held"))
+    there = written(there.select("signature", "block").distinct(), "shared")
     pairs = there.withColumnRenamed("block", "i").join(there.withColumnRenamed("block", "j"), "signature").filter("i <= j")
     pairs = pairs.select("i", "j").distinct().withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-    texts_ = dealt.join(bodies.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id")
-    full = pairs.join(texts_, "block").select("i", "j", "doc_id", "component", "text")
+    near = pairs.join(written(held, "held"), "block").groupBy("i", "j").applyInArrow(_meeting, "i long, j long, doc_id long")
+    near = written(near, "near")
+    texts_ = bodies.select("doc_id", "text").dropDuplicates(["doc_id"]).join(dealt.select("doc_id", "component").distinct(), "doc_id")
+    full = near.join(texts_, "doc_id").select("i", "j", "doc_id", "component", "text")
     return full.groupBy("i", "j").applyInArrow(_compare(similarity), "a long, b long")
 
 
+def _meeting(block: pa.Table) -> pa.Table:
+    """The sets of two blocks that share more signatures with a set of another component than either of them can spare.
+
+    Signatures are 32-bit hashes here; what a set loses by equal ones counts as shared.
+    """
+    kinds, component, ids = (np.array(block.column(name).to_pylist(), np.int64) for name in ("kind", "component", "doc_id"))
+    held = [row.values.to_numpy() for row in block.column("held").combine_chunks()]
+    sets = [np.unique(own) for own in held]
+    lost = np.array([len(every) - len(own) for every, own in zip(held, sets, strict=True)])
+    band, spare = kinds >> 32, (kinds & 0xFFFFFFFF) - lost
+    near = common_counts(sets) > np.maximum(spare[:, None] - lost[None, :], spare[None, :] - lost[:, None])
+    near &= (component[:, None] != component[None, :]) & (band[:, None] == band[None, :])
+    found = np.unique(ids[near.any(1)])
+    names = {name: pa.array(np.full(len(found), block.column(name)[0].as_py(), np.int64)) for name in ("i", "j")}
+    return pa.table({**names, "doc_id": pa.array(found)})
+
+
 def drop_near_copies(docs: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group of near copies, with all their columns.
 
     The smallest ``doc_id`` of a group stays (null after all others); of its rows with that id the one whose set has the smallest
     name, so that null and repeated ids keep one row of each group, too. Texts without words all stay.
     """
-    _, classes, _ = _classed(docs, similarity)
+    sized, classes, _ = _classed(docs, similarity)
     least = F.struct(F.col("least").isNull().alias("nameless"), "least", "n_shingles", "one", "two")
     first = classes.groupBy("component").agg(F.min(least).alias("first"))
     first = first.select(*[F.col(f"first.{name}").alias(f"first_{name}") for name in ("least", "n_shingles", "one", "two")])
+    first = written(first, "first")
+
+    def same(rows: DataFrame) -> Column:
+        equal = [rows[name] == first[f"first_{name}"] for name in ("n_shingles", "one", "two")]
+        return reduce(lambda a, b: a & b, equal, rows["doc_id"].eqNullSafe(first["first_least"]))
+
+    # rows stay where they lie unless their id is one that goes or comes again
+    filled = sized.filter("n_shingles > 0")
+    again = filled.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")
+    marked, stay = marked_rows(docs, filled.join(first, same(filled), "left_anti").select("doc_id").unionAll(again))
     schema = StructType([*StructType.fromDDL("n_shingles long, one long, two long").fields, StructField("row", docs.schema)])
-    rows = with_row(docs).mapInArrow(_describe_rows(similarity.width), schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    same = rows["doc_id"].eqNullSafe(first["first_least"])
-    for name in ("n_shingles", "one", "two"):
-        same = same & (rows[name] == first[f"first_{name}"])
-    one_each = rows.join(first, same, "left_semi").dropDuplicates(["doc_id", "n_shingles", "one", "two"])
-    return one_each.select("row.*").unionAll(rows.filter("n_shingles = 0").select("row.*"))
+    rows = marked.mapInArrow(_describe_rows(similarity.width), schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    one_each = rows.join(first, same(rows), "left_semi").dropDuplicates(["doc_id", "n_shingles", "one", "two"])
+    return reduce(DataFrame.unionAll, [part.select("row.*") for part in (stay, one_each, rows.filter("n_shingles = 0"))])
