@@ -69,6 +69,30 @@ def with_row_number(df: DataFrame, *order: str, name: str = "row_number", descen
     return null_safe_join(rows, placed, order).withColumn(name, F.col("__before") + copy).drop("__before", "__copy")
 
 
+def numbered(df: DataFrame, ts: str, digest: str, name: str = "row_number", prefix: int = 2) -> DataFrame:
+    """Exact numbers from the latest ``ts`` on, rows of one time in the order of ``digest``, a hash as text; no time comes last.
+
+    Rows are dealt out once, by time and the digest's first letters, and numbered where they lie; counts of these groups give the rows
+    before. A window holds a group, days, or one day's groups. Rows that are equal in both are numbered arbitrarily among themselves.
+    """
+    group = F.struct(F.col(ts).alias("ts"), F.substring(digest, 1, prefix).alias("head")).alias("__g")
+    newest = [F.col("__g.ts").desc_nulls_last(), F.col("__g.head")]
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("__m")).withColumn("__day", F.date_trunc("day", "__g.ts"))
+    days = counts.groupBy("__day").agg(F.sum("__m").alias("__m"))
+    earlier = Window.orderBy(F.col("__day").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(F.col("__day").alias("__d"), F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy("__day").orderBy(*newest).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__m").over(inside), F.lit(0)))
+    offsets = counts.join(days, F.col("__day").eqNullSafe(F.col("__d"))).select(
+        F.col("__g").alias("__own"), (F.col("__offset") + F.col("__before")).alias("__before")
+    )
+    # one column without nulls, so that the shuffle serves the join, too
+    dealt = df.select(group, *df.columns).repartition("__g")
+    own = F.row_number().over(Window.partitionBy("__g").orderBy(digest))
+    placed = dealt.withColumn(name, own).join(offsets, F.col("__g") == F.col("__own"))
+    return placed.select(*df.columns, (F.col("__before") + F.col(name)).alias(name))
+
+
 def row_id(*columns: Column | str, prefix: str | None = None) -> Column:
     """Deterministic 128-bit surrogate id from business columns: no sort and no shuffle.
 

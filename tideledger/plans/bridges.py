@@ -21,7 +21,8 @@ from ..functions.labels import (
     mapped,
 )
 from ..operators.joins import lookup, lookup_roles, price_roles, sized
-from ..operators.ordered import row_id, with_row_number
+from ..operators.ordered import numbered, row_id
+from ..operators.repeats import without_copies
 from ..operators.windows import extreme_with_ties, latest_per_key
 from ..sources.schemas import CANONICAL_COLUMNS, CANONICAL_TYPES
 
@@ -117,9 +118,19 @@ def stage_across(v3: DataFrame, v2: DataFrame, metadata: DataFrame) -> DataFrame
     )
 
 
-def stage_allbridge(raw: DataFrame, tokens: DataFrame, chains: DataFrame, denied: Sequence[str] = ALLBRIDGE_DENIED) -> DataFrame:
-    """Chain codes to ids and native tokens; token addresses match in any case. Equal rows count once, of what is returned."""
+def stage_allbridge(
+    raw: DataFrame, tokens: DataFrame, chains: DataFrame, denied: Sequence[str] = ALLBRIDGE_DENIED, stored: bool = False
+) -> DataFrame:
+    """Chain codes to ids and native tokens; token addresses match in any case. Equal rows count once, of what is returned.
+
+    A token that is listed twice gives copies of a row: its tokens are made distinct. ``stored``: ``raw`` can be read twice.
+    """
     rows = raw.where((A.lossy_double("from_amount") > 0) & (A.lossy_double("to_amount") > 0)).where(~F.col("id").isin(*denied))
+    tokens = tokens.select(F.lower("token_address").alias("token_address"), "blockchain", "symbol").distinct()
+    return without_copies(rows, "id", lambda df: _allbridge_rows(df, tokens, chains), DataFrame.distinct, stored)
+
+
+def _allbridge_rows(rows: DataFrame, tokens: DataFrame, chains: DataFrame) -> DataFrame:
     for side in ("from", "to"):
         rows = lookup(
             rows, tokens, {f"{side}_token_address": "token_address", f"{side}_chain_symbol": "blockchain"},
@@ -157,34 +168,16 @@ def stage_allbridge(raw: DataFrame, tokens: DataFrame, chains: DataFrame, denied
         A.lossy_double("relayer_fee_in_native").alias("from_relayer_fee_in_native"),
         F.coalesce(from_symbol, to_symbol).alias("relayer_fee_token_symbol"),
         number("relayer_fee_in_tokens"),
-    ).distinct()
+    )
 
 
-def stage_debridge(raw: DataFrame, metadata: DataFrame, chains: DataFrame) -> DataFrame:
-    """The pre-swap leg, where there is one, is what the user sent."""
-    give, take, swap = "giveofferwithmetadata_", "takeofferwithmetadata_", "preswapdata_"
-    semi = raw.where("state = 'ClaimedUnlock'").select(
-        F.col("orderid_stringvalue").alias("id"),
-        F.timestamp_seconds(A.lossy_long("creationtimestamp")).alias("date"),
-        F.col("unlockauthoritydst_stringvalue").alias("to_address"),
-        F.col(swap + "tokeninmetadata_symbol").alias("swap_symbol"),
-        F.col(give + "metadata_symbol").alias("interim_symbol"),
-        F.col(give + "tokenaddress_stringvalue").alias("from_token_address"),
-        F.col(take + "metadata_symbol").alias("to_token_symbol"),
-        A.lossy_long(swap + "chainid_bigintegervalue").alias("swap_chain_id"),
-        A.lossy_double(swap + "inamount_bigintegervalue").alias("swap_value"),
-        A.lossy_long(give + "chainid_bigintegervalue").alias("give_chain_id"),
-        A.lossy_long(give + "metadata_decimals").alias("give_decimals"),
-        A.lossy_long(take + "chainid_bigintegervalue").alias("to_chain_id"),
-        A.lossy_long(take + "decimals").alias("to_decimals"),
-        A.lossy_double(give + "finalamount_bigintegervalue").alias("give_value"),
-        A.lossy_double(take + "amount_bigintegervalue").alias("to_value"),
-        A.lossy_double("fixfee_bigintegervalue").alias("gas_value"),
-        A.lossy_double("finalpercentfee_bigintegervalue").alias("fee_value"),
-    )
+def stage_debridge(raw: DataFrame, metadata: DataFrame, chains: DataFrame, stored: bool = False) -> DataFrame:
+    """The pre-swap leg, where there is one, is what the user sent. ``stored``: ``raw`` can be read twice."""
     tokens = sized(chain_tokens(first_addresses(metadata), chains).select("chain_id", "symbol", "decimals").distinct())
+    done = raw.where("state = 'ClaimedUnlock'")
+    semi = without_copies(done, "orderid_stringvalue", _debridge_orders, DataFrame.distinct, stored)
     rows = lookup(
-        semi.distinct(), chains, {"give_chain_id": "chain_id"},
+        semi, chains, {"give_chain_id": "chain_id"},
         {"name": "from_chain_name", "fee_token_symbol": "gas_token_symbol", "fee_token_decimal": "gas_decimals"},
     )
     rows = lookup(rows, chains, {"to_chain_id": "chain_id"}, {"name": "to_chain_name"})
@@ -218,9 +211,38 @@ def stage_debridge(raw: DataFrame, metadata: DataFrame, chains: DataFrame) -> Da
     ).where("from_amount > 0 AND to_amount > 0 AND relay_fee_amount > 0")
 
 
-def stage_hop(raw: DataFrame, chains: DataFrame, denied: Sequence[str] = HOP_DENIED) -> DataFrame:
-    """Display texts to numbers; what arrives is the amount less the bonder fee."""
-    named = raw.where(~F.col("id").isin(*denied))
+def _debridge_orders(raw: DataFrame) -> DataFrame:
+    give, take, swap = "giveofferwithmetadata_", "takeofferwithmetadata_", "preswapdata_"
+    return raw.select(
+        F.col("orderid_stringvalue").alias("id"),
+        F.timestamp_seconds(A.lossy_long("creationtimestamp")).alias("date"),
+        F.col("unlockauthoritydst_stringvalue").alias("to_address"),
+        F.col(swap + "tokeninmetadata_symbol").alias("swap_symbol"),
+        F.col(give + "metadata_symbol").alias("interim_symbol"),
+        F.col(give + "tokenaddress_stringvalue").alias("from_token_address"),
+        F.col(take + "metadata_symbol").alias("to_token_symbol"),
+        A.lossy_long(swap + "chainid_bigintegervalue").alias("swap_chain_id"),
+        A.lossy_double(swap + "inamount_bigintegervalue").alias("swap_value"),
+        A.lossy_long(give + "chainid_bigintegervalue").alias("give_chain_id"),
+        A.lossy_long(give + "metadata_decimals").alias("give_decimals"),
+        A.lossy_long(take + "chainid_bigintegervalue").alias("to_chain_id"),
+        A.lossy_long(take + "decimals").alias("to_decimals"),
+        A.lossy_double(give + "finalamount_bigintegervalue").alias("give_value"),
+        A.lossy_double(take + "amount_bigintegervalue").alias("to_value"),
+        A.lossy_double("fixfee_bigintegervalue").alias("gas_value"),
+        A.lossy_double("finalpercentfee_bigintegervalue").alias("fee_value"),
+    )
+
+
+def stage_hop(raw: DataFrame, chains: DataFrame, denied: Sequence[str] = HOP_DENIED, stored: bool = False) -> DataFrame:
+    """Display texts to numbers; what arrives is the amount less the bonder fee. ``stored``: ``raw`` can be read twice."""
+    kept = raw.where(~F.col("id").isin(*denied))
+    names = chains.select("chain_id", "name").distinct()
+    rows = without_copies(kept, "transferid", lambda df: _hop_rows(df, names), DataFrame.distinct, stored)
+    return rows.where("from_amount > 0 AND to_amount > 0 AND to_amount_usd > 0 AND from_amount_usd > 0")
+
+
+def _hop_rows(named: DataFrame, chains: DataFrame) -> DataFrame:
     named = lookup(named, chains, {"sourcechainid": "chain_id"}, {"name": "from_name"})
     named = lookup(named, chains, {"destinationchainid": "chain_id"}, {"name": "to_name"})
     sent, fee = A.lossy_double("amountdisplay"), A.lossy_double("bonderfeedisplay")
@@ -251,8 +273,6 @@ def stage_hop(raw: DataFrame, chains: DataFrame, denied: Sequence[str] = HOP_DEN
             fee.alias("relayer_fee"),
             fee_usd.alias("relayer_fee_in_usd"),
         )
-        .distinct()
-        .where("from_amount > 0 AND to_amount > 0 AND to_amount_usd > 0 AND from_amount_usd > 0")
     )
 
 
@@ -340,13 +360,11 @@ def stage_symbiosis(raw: DataFrame, chains: DataFrame) -> DataFrame:
     )
 
 
-def stage_synapse(raw: DataFrame, metadata: DataFrame, chains: DataFrame) -> DataFrame:
-    """Latest row per transfer; both tokens must be known."""
+def stage_synapse(raw: DataFrame, metadata: DataFrame, chains: DataFrame, stored: bool = False) -> DataFrame:
+    """Latest row per transfer; both tokens must be known. ``stored``: ``raw`` can be read twice."""
     moved = (A.lossy_double("from_formatted_value") > 0) | (A.lossy_double("to_formatted_value") > 0)
-    latest = latest_per_key(
-        raw.where(moved), ["kappa"],
-        F.col("from_time").desc(), F.col("to_time").desc(), F.col("from_hash"), F.col("to_hash"), F.col("to_value"),
-    )
+    order = [F.col("from_time").desc(), F.col("to_time").desc(), F.col("from_hash"), F.col("to_hash"), F.col("to_value")]
+    latest = without_copies(raw.where(moved), "kappa", lambda df: df, lambda df: latest_per_key(df, ["kappa"], *order), stored)
     tokens = sized(chain_tokens(first_addresses(metadata), chains).distinct())
     for side in ("from", "to"):
         latest = lookup(
@@ -615,13 +633,13 @@ def all_transfers(cleaned: Mapping[str, DataFrame], exact_numbers: bool = False)
     """Union of cleaned bridges (label -> rows) with ids ``<label>_<...>``.
 
     Ids are hashes of the row's own values by default. ``exact_numbers`` gives
-    ``<label>_1, _2, ...`` from the newest transfer, at the price of a range sort.
+    ``<label>_1, _2, ...`` from the newest transfer, at the price of one shuffle.
     """
     parts = []
     for label, df in cleaned.items():
         if exact_numbers:
             keyed = df.withColumn("__h", row_id(*CANONICAL_COLUMNS))
-            keyed = with_row_number(keyed, "from_date", "__h", name="__n", descending=["from_date"])
+            keyed = numbered(keyed, "from_date", "__h", name="__n")
             ident = F.concat(F.lit(label + "_"), F.col("__n").cast("string"))
             parts.append(keyed.withColumn("id", ident).select(*CANONICAL_COLUMNS))
         else:
