@@ -115,3 +115,37 @@ def test_mart_of_odd_tables(spark, folder):
     got = {r.label: r["count"] for r in run(spark, folder).groupBy("label").count().collect()}
     one_by_one = {b: C.cleaned(Tables(spark, folder), b).count() for b in C.MART}
     assert got == {b: n for b, n in one_by_one.items() if n}
+
+
+def test_transfers_meet_deposits_before_fees_are_valued(spark):
+    """The rebates are those of the valued fees; lists of assets are stored, so only the deposits' join shuffles transfers."""
+    from tideledger.plans import transfers as T
+
+    domains = ("6648936", "6450786", "999")
+    rows = [
+        (f"t{n}", "S1", 1_000_000 + 600 * n, domains[n % 3], domains[(n + 1) % 3], ("0xA", "0xb", None)[n % 3], "0xB", "1000000", "900000",
+         ("CompletedFast", "CompletedSlow", "XCalled")[n % 3 if n % 2 else 0], ('{}', '{"0xA":"5000","0x0000000000000000000000000000000000000000":"70"}', '{"0xb":"9"}', None)[n % 4],
+         f"h{n % 20}" if n % 7 else None, "30", "2000" if n % 5 else None)
+        for n in range(60)
+    ]
+    names = (
+        "transfer_id string, canonical_id string, xcall_timestamp long, origin_domain string, destination_domain string, origin_transacting_asset string, "
+        "destination_transacting_asset string, origin_transacting_amount string, destination_transacting_amount string, status string, relayer_fees string, "
+        "xcall_transaction_hash string, xcall_gas_price string, xcall_gas_limit string"
+    )
+    transfers = spark.createDataFrame(rows, names)
+    assets = spark.createDataFrame([("S1", d, "6") for d in domains[:2]] * 2, "canonical_id string, domain string, adopted_decimal string")
+    tokens = spark.createDataFrame([("0xa", "ETH"), ("0xb", "nextS3"), ("0xb", "nextS3")], "token_address string, token_name string")
+    hour = datetime(1970, 1, 12, 13)
+    prices = spark.createDataFrame([(s, hour + timedelta(hours=h), 2.0 + h) for s in ("WETH", "BNB", "S3") for h in range(4)], "symbol string, date timestamp, price double")
+    deposits = spark.createDataFrame(
+        [(f"h{n}", f"u{n}", T.FEE_CHAINS.get(d, d)) for n in range(15) for d in domains] + [("h1", "v", T.FEE_CHAINS["6450786"]), (None, "w", "999")],
+        "hash string, user_address string, origin_chain string",
+    )
+    given = (transfers, assets, tokens, prices)
+    got = T.rebates(*given, deposits, prices.where("symbol = 'S3'"))
+    want = T.fee_rebate(T.transfer_fees(*given), deposits, prices.where("symbol = 'S3'"))
+    assert got.dtypes == want.dtypes and listed(got) == listed(want) and got.where("user_address = 'v'").count() > 0
+    assert got.where("total_fee_usd > 0 AND price IS NOT NULL").count() > 5
+    steps = T.transfer_fees(*given)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in steps and "Exchange hashpartitioning" not in steps

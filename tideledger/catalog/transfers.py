@@ -329,8 +329,11 @@ REBATE_SQL = f"""
 
 
 def rebates(t):
+    # transfers and both deposit lists come from one join of the tables
+    t.store("fx_moves")
     users = T.deposit_users((t.fx_deposit_list, "hash", "user_address", None), (t.fx_deposit_rest, "hash", "from_address", "bnb"))
-    return T.fee_rebate(fees(t), users, t.fx_fee_prices.where("symbol = 'S3'"))
+    prices = t.fx_fee_prices
+    return T.rebates(t.fx_public_transfers, t.fx_domain_assets, t.fx_known_tokens, prices, users, prices.where("symbol = 'S3'"))
 
 
 @query("D39_fee_rebate", REBATE_SQL, FEE_DOUBLES + " price total_fee_usd total_fee_reward", dates="week_start week_end")

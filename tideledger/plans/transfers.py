@@ -325,13 +325,19 @@ def transfer_fees(transfers: DataFrame, assets: DataFrame, tokens: DataFrame, pr
     A relay fee paid in the sent asset uses its decimals and price, any other one
     the chain's gas token.
     """
-    known = assets.select("canonical_id", "domain", "adopted_decimal").distinct()
+    return _valued_fees(_fee_amounts(transfers, assets, tokens), prices)
+
+
+def _fee_amounts(transfers: DataFrame, assets: DataFrame, tokens: DataFrame) -> DataFrame:
+    """What fees are made of, with no column that follows from others: domains, own assets, amounts and times of completed transfers."""
+    # lists of assets have sizes, so transfers stay where they are
+    known = sized(assets.select("canonical_id", "domain", "adopted_decimal").distinct())
     rows = transfers.where(F.col("status").isin(*COMPLETED))
     for side in ("origin", "destination"):
         rows = lookup(
             rows, known, {"canonical_id": "canonical_id", f"{side}_domain": "domain"}, {"adopted_decimal": f"__{side}_decimal"}
         )
-    names = tokens.select(F.lower("token_address").alias("local"), F.col("token_name").alias("asset")).distinct()
+    names = sized(tokens.select(F.lower("token_address").alias("local"), F.col("token_name").alias("asset")).distinct())
     fees = J.text_map("relayer_fees")
     for n in (1, 2):
         key, value = J.nth_fee(fees, n - 1)
@@ -341,37 +347,64 @@ def transfer_fees(transfers: DataFrame, assets: DataFrame, tokens: DataFrame, pr
         asset = f"{side}_transacting_asset"
         rows = lookup(rows, names, {asset: "local"}, {"asset": f"__{side}_name"}, ignore_case=[asset])
         rows = rows.withColumn(f"{side}_asset", F.coalesce(f"__{side}_name", asset))
-    gas = mapped("origin_domain", DOMAIN_GAS_TOKENS, F.lit("WETH"))
-    domain = F.col("origin_domain")
-    swap_rate = F.when(domain.isin(*LAYER_2_DOMAINS), LAYER_2_SWAP_RATE).when(domain.isin(*LAYER_1_DOMAINS), LAYER_1_SWAP_RATE)
-    sent = scaled("origin_transacting_amount", "__origin_decimal", 18)
 
-    def relay(n: int) -> tuple[Column, Column]:
+    def relay(n: int) -> list[Column]:
         key, value = F.col(f"__key_{n}"), F.col(f"__value_{n}")
         own = (key == F.col("origin_transacting_asset")) & ~is_zero(key)
-        asset = F.when(own, F.col(f"__name_{n}")).otherwise(gas)
         amount = F.when(own, scaled(value, "__origin_decimal", 18)).otherwise(value / 1e18)
-        return (asset, amount) if n == 1 else (F.when(key.isNotNull(), asset), F.when(key.isNotNull(), amount))
+        return [
+            own.alias(f"__own_{n}"), F.when(own, F.col(f"__name_{n}")).alias(f"__asset_{n}"),
+            (amount if n == 1 else F.when(key.isNotNull(), amount)).alias(f"relay_{n}_amount"), key.isNotNull().alias(f"__paid_{n}"),
+        ]
+
+    return rows.select(
+        "transfer_id", "xcall_transaction_hash", F.timestamp_seconds("xcall_timestamp").alias("date"), "origin_domain", "destination_domain",
+        "origin_asset", "destination_asset", (lossy_double("xcall_gas_price") * lossy_double("xcall_gas_limit") / 1e18).alias("gas_amount"),
+        *relay(1), *relay(2), scaled("origin_transacting_amount", "__origin_decimal", 18).alias("__sent"),
+        scaled("destination_transacting_amount", "__destination_decimal", 0).alias("destination_amount"),
+    )
+
+
+def _valued_fees(rows: DataFrame, prices: DataFrame, *kept: str) -> DataFrame:
+    """Fees in tokens and in USD from ``_fee_amounts``; ``kept`` are other columns that stay, at the end."""
+    gas = mapped("origin_domain", DOMAIN_GAS_TOKENS, F.lit("WETH"))
+    domain, sent = F.col("origin_domain"), F.col("__sent")
+    swap_rate = F.when(domain.isin(*LAYER_2_DOMAINS), LAYER_2_SWAP_RATE).when(domain.isin(*LAYER_1_DOMAINS), LAYER_1_SWAP_RATE)
+
+    def relay(n: int) -> tuple[Column, Column]:
+        asset = F.when(F.col(f"__own_{n}"), F.col(f"__asset_{n}")).otherwise(gas)
+        return asset if n == 1 else F.when(F.col(f"__paid_{n}"), asset), F.col(f"relay_{n}_amount")
 
     amounts = {
-        "gas": (gas, lossy_double("xcall_gas_price") * lossy_double("xcall_gas_limit") / 1e18),
+        "gas": (gas, F.col("gas_amount")),
         "relay_1": relay(1),
         "relay_2": relay(2),
         "amm": (F.col("origin_asset"), F.coalesce(sent * swap_rate, F.lit(0.0))),
         "router": (F.col("origin_asset"), sent * ROUTER_RATE),
-        "destination": (F.col("destination_asset"), scaled("destination_transacting_amount", "__destination_decimal", 0)),
+        "destination": (F.col("destination_asset"), F.col("destination_amount")),
     }
     rows = rows.select(
-        "transfer_id", "xcall_transaction_hash",
-        F.timestamp_seconds("xcall_timestamp").alias("date"),
+        "transfer_id", "xcall_transaction_hash", "date",
         *[mapped(f"{side}_domain", FEE_CHAINS, F.col(f"{side}_domain")).alias(f"{side}_chain") for side in ("origin", "destination")],
         "destination_asset",
         *[asset.alias(f"{k}_asset") for k, (asset, _) in amounts.items() if k != "destination"],
         *[amount.alias(f"{k}_amount") for k, (_, amount) in amounts.items()],
+        *kept,
     )
     rows = price_book_roles(rows, prices, "date", {f"__price_{k}": price_group(f"{k}_asset") for k in amounts})
     rows = rows.withColumns({f"usd_{k}_amount": F.col(f"{k}_amount") * F.col(f"__price_{k}") for k in amounts})
-    return rows.drop(*[f"__price_{k}" for k in amounts])
+    rows = rows.drop(*[f"__price_{k}" for k in amounts])
+    return rows.select(*[c for c in rows.columns if c not in kept], *kept)
+
+
+def rebates(
+    transfers: DataFrame, assets: DataFrame, tokens: DataFrame, prices: DataFrame, deposits: DataFrame, reward_prices: DataFrame
+) -> DataFrame:
+    """``fee_rebate`` of ``transfer_fees``. Transfers meet their deposits before fees are valued, so that narrow rows are shuffled."""
+    rows = _fee_amounts(transfers, assets, tokens)
+    rows = rows.withColumn("__chain", mapped("origin_domain", FEE_CHAINS, F.col("origin_domain")))
+    rows = lookup(rows, deposits, {"xcall_transaction_hash": "hash", "__chain": "origin_chain"}, {"user_address": "user_address"})
+    return _rebated(_valued_fees(rows, prices, "user_address"), reward_prices)
 
 
 def fee_rebate(fees: DataFrame, deposits: DataFrame, reward_prices: DataFrame) -> DataFrame:
@@ -379,6 +412,10 @@ def fee_rebate(fees: DataFrame, deposits: DataFrame, reward_prices: DataFrame) -
     rows = lookup(
         fees, deposits, {"xcall_transaction_hash": "hash", "origin_chain": "origin_chain"}, {"user_address": "user_address"}
     )
+    return _rebated(rows, reward_prices)
+
+
+def _rebated(rows: DataFrame, reward_prices: DataFrame) -> DataFrame:
     hour = reward_prices.groupBy(F.date_trunc("hour", "date").alias("__hour")).agg(F.avg("price").alias("price"))
     rows = rows.withColumn("__hour", F.date_trunc("hour", "date")).join(sized(hour), "__hour", "left").drop("__hour")
     total = F.lit(0.0)
